@@ -121,5 +121,5 @@ def p1_shares(spark: SparkSession, sf: str) -> DataFrame:
     counted = counted.unionByName(out.groupBy("split_name").agg(F.count("*").alias("n_rows")).select(F.lit(None).cast("string").alias("topic_seed"), "split_name", "n_rows", F.lit(9).cast("long").alias("gid")))
     leaf = counted.filter("gid in (0, 9)").withColumn("level", F.when(F.col("gid") == 9, "all").otherwise("topic"))
     top = counted.filter("gid in (1, 3)").select(F.when(F.col("gid") == 3, "all").otherwise("topic").alias("level"), F.col("topic_seed").alias("t"), F.col("n_rows").alias("of_rows"))
-    joined = leaf.alias("l").join(F.broadcast(top.alias("t")), (F.col("l.level") == F.col("t.level")) & F.col("l.topic_seed").eqNullSafe(F.col("t.t")))
+    joined = leaf.alias("l").join(top.alias("t"), (F.col("l.level") == F.col("t.level")) & F.col("l.topic_seed").eqNullSafe(F.col("t.t")))
     return joined.select("l.level", "l.topic_seed", "l.split_name", "l.n_rows", (F.col("l.n_rows") / F.col("t.of_rows")).alias("share"))
