@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarack.llm import bpe, packing, quota_sample, splits
+from tamarack.llm import bpe, near_duplicates, packing, quota_sample, splits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": quota_sample.p2_found,
         "p2_report": quota_sample.p2_report,
         "p2_sample": quota_sample.p2_sample,
+        "p5_found": near_duplicates.p5_found,
+        "p5_groups": near_duplicates.p5_groups,
         "p7_ids": bpe.p7_ids,
         "p8_packed": packing.p8_packed,
         "p8_fill": packing.p8_fill,
