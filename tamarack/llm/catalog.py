@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarack.llm import bpe, near_duplicates, packing, quota_sample, splits
+from tamarack.llm import bpe, near_duplicates, packing, quota_sample, spam, splits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_ids": bpe.p7_ids,
         "p8_packed": packing.p8_packed,
         "p8_fill": packing.p8_fill,
+        "p9_found": spam.p9_found,
+        "p9_scores": spam.p9_scores,
     }
 
 
