@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 from pathlib import Path
@@ -17,9 +18,8 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
-    with tempfile.TemporaryDirectory() as folder:
-        stage = Path(folder) / "stage"
-        shutil.copytree(root, stage / root.name, ignore=shutil.ignore_patterns("__pycache__"))
-        archive = shutil.make_archive(str(Path(folder) / f"{root.name}-source"), "zip", stage)
-        context.addPyFile(archive)
+    folder = Path(tempfile.mkdtemp(prefix="tamarack-source-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    shutil.copytree(root, folder / "stage" / root.name, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(str(folder / f"{root.name}-source"), "zip", folder / "stage"))
     _shipped.add(context.applicationId)
