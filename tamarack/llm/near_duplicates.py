@@ -3,8 +3,8 @@
 Two permutations give every signature coordinate: the first scatters a record's word shingles over
 a circle, the second, shifted by k places, gives coordinate k. Coordinates are banded; records that
 share a band are candidates, sketches of further coordinates drop the unlikely ones, and the rest is
-verified by the exact Jaccard similarity of the shingle sets. Records with equal shingle sets form
-one class from the start, so copies never meet each other in a bucket.
+verified by the exact Jaccard similarity of the shingle sets. Records with the same words in the
+same order form one class from the start, so copies never meet each other in a bucket.
 
 Band entries travel as packed arrays, eight bytes an entry, instead of one row each.
 """
@@ -33,7 +33,7 @@ SKETCH_BITS, SKETCH_SHIFT = 128, 4096
 #: Standard deviations by which a pair at the threshold may fall short of its expected sketch agreement.
 SKETCH_SLACK = 3.6
 #: A pair at the threshold is missed by all bands with at most this probability.
-MISS_AT_THRESHOLD = 0.01
+MISS_AT_THRESHOLD = 0.045
 #: Runs of one band key longer than this are compared in a salted join instead of inside one task.
 LONG_RUN = 4000
 
@@ -76,8 +76,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray | None]:
-    """The sorted distinct 64-bit hashes of each text's word shingles; None for texts with fewer than ``size`` words."""
+def _prepared(texts: list[str | None], size: int) -> list[tuple[bytes, np.ndarray] | None]:
+    """The class and the 64-bit shingle hashes, in order, of each text; None for texts with fewer than ``size`` words."""
     known = _words("")
     counts, flat = [], []
     for t in texts:
@@ -93,65 +93,60 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray | None]:
             mixed = _mixed(mixed + h[k : len(h) - size + 1 + k])
     out, at = [], 0
     for n in counts:
-        out.append(np.unique(mixed[at : at + n - size + 1]) if n >= size else None)
+        out.append((hashlib.blake2b(h[at : at + n].tobytes(), digest_size=16).digest(), mixed[at : at + n - size + 1]) if n >= size else None)
         at += n
     return out
 
 
-def _signatures(sets: list[np.ndarray], width: int, shift: int) -> np.ndarray:
+def _signatures(shingles: list[np.ndarray], width: int, shift: int) -> np.ndarray:
     circle = _circle(width, shift)
-    out = np.empty((len(sets), width), dtype=np.uint32)
-    for k, s in enumerate(sets):
-        circle[(s >> np.uint64(44)).astype(np.int64)].min(axis=0, out=out[k])
+    out = np.empty((len(shingles), width), dtype=np.uint32)
+    for k, s in enumerate(shingles):
+        circle[(s >> np.uint64(44)).astype(np.intp)].min(axis=0, out=out[k])
     return out
 
 
-def _class_of(s: np.ndarray) -> bytes:
-    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+def _number(c: bytes) -> int:
+    return int.from_bytes(c[:4], "little")
 
 
 def _describe(size: int):
-    """id, class, number (32 bits of the class), shingle count and sketch of each record that has shingles."""
+    """id, class, number (32 bits of the class) and sketch of each record that has shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sets = [], []
-            for key, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), size), strict=True):
-                if s is not None:
-                    keys.append(key)
-                    sets.append(s)
-            classes = [_class_of(s) for s in sets]
-            bits = np.packbits(_signatures(sets, SKETCH_BITS, SKETCH_SHIFT) & 1, axis=1) if sets else np.zeros((0, SKETCH_BITS // 8), np.uint8)
-            sketch = np.ascontiguousarray(bits).view(np.int64).reshape(len(sets), 2)
-            numbers = np.array([int.from_bytes(c[:4], "little") for c in classes], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(classes, pa.binary()), pa.array(numbers), pa.array([len(s) for s in sets], pa.int32()), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])], ["id", "class", "num", "n", "s1", "s2"])
+            made = [(key, *p) for key, p in zip(batch.column(0).to_pylist(), _prepared(batch.column(1).to_pylist(), size), strict=True) if p]
+            bits = np.packbits(_signatures([m[2] for m in made], SKETCH_BITS, SKETCH_SHIFT) & 1, axis=1)
+            sketch = np.ascontiguousarray(bits).view(np.int64).reshape(len(made), 2)
+            numbers = [_number(m[1]) for m in made]
+            yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.binary()), pa.array(numbers, pa.int64()), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])], ["id", "class", "num", "s1", "s2"])
 
     return run
 
 
 def _band_chunks(size: int, rows: int, bands: int, parts: int):
-    """Band entries by part: arrays of 32-bit key remainders and record numbers; equal entries of a batch count once."""
+    """Band entries by part: arrays of 32-bit key remainders and record numbers; a class counts once in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = _mixed(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in batches:
-            by_class = {_class_of(s): s for s in shingle_sets(batch.column(0).to_pylist(), size) if s is not None}
+            by_class = dict(p for p in _prepared(batch.column(0).to_pylist(), size) if p)
             if not by_class:
                 continue
-            numbers = np.array([int.from_bytes(c[:4], "little") for c in by_class], dtype=np.uint64)
+            numbers = np.array([_number(c) for c in by_class], dtype=np.uint64)
             sig = _signatures(list(by_class.values()), rows * bands, 0).reshape(len(numbers), bands, rows).astype(np.uint64)
             with np.errstate(over="ignore"):
                 key = np.broadcast_to(salt, (len(numbers), bands)).copy()
                 for k in range(rows):
                     key = _mixed(key + sig[:, :, k])
             key = key.ravel()
-            part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+            part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
             entry = (key << np.uint64(32)) | np.repeat(numbers, bands)
             order = np.argsort(part, kind="stable")
             part, entry = part[order], entry[order]
             starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             blocks = [e.tobytes() for e in np.split(entry, starts[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), pa.array(blocks, pa.binary())], ["part", "entries"])
+            yield pa.RecordBatch.from_arrays([pa.array(part[starts]), pa.array(blocks, pa.binary())], ["part", "entries"])
 
     return run
 
@@ -196,13 +191,13 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _packed_sets(size: int):
-    """Number, class, shingle count and the shingles' upper 32 bits, sorted, of each record that has shingles."""
+    """Number, class and the upper 32 bits of the distinct shingles of each class of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_class = {_class_of(s): s for s in shingle_sets(batch.column(0).to_pylist(), size) if s is not None}
-            packed = [(s >> np.uint64(32)).astype(np.uint32).tobytes() for s in by_class.values()]
-            yield pa.RecordBatch.from_arrays([pa.array([int.from_bytes(c[:4], "little") for c in by_class], pa.int64()), pa.array(list(by_class), pa.binary()), pa.array(packed, pa.binary())], ["num", "class", "set"])
+            by_class = dict(p for p in _prepared(batch.column(0).to_pylist(), size) if p)
+            packed = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in by_class.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([_number(c) for c in by_class], pa.int64()), pa.array(list(by_class), pa.binary()), pa.array(packed, pa.binary())], ["num", "class", "set"])
 
     return run
 
@@ -226,7 +221,7 @@ def _verify(threshold: float):
 def similar_classes(records: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
     """(members, links): members has (class, id) of each record with at least ``shingle`` words, links the class pairs at or above the threshold.
 
-    Equal shingle sets make one class. Null, empty and shorter texts have no class. Repeated rows
+    Equal word sequences make one class. Null, empty and shorter texts have no class. Repeated rows
     count once; other columns are ignored; an empty table gives empty results. Every pair of classes
     at the threshold is found with probability 1 - MISS_AT_THRESHOLD, of higher similarity with more;
     the reported similarity counts shingles by 32 bits of their hashes, which for sets of n and m
@@ -234,7 +229,7 @@ def similar_classes(records: DataFrame, id_col: str, text_col: str, threshold: f
     """
     spark = records.sparkSession
     source = records.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null and text is not null")
-    info = cut(source.mapInArrow(_describe(shingle), "id string, class binary, num long, n int, s1 long, s2 long"))
+    info = cut(source.mapInArrow(_describe(shingle), "id string, class binary, num long, s1 long, s2 long"))
     members = info.select("class", "id").distinct()
     rows, bands = band_shape(info.count(), threshold)
     parts = max(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -246,14 +241,14 @@ def similar_classes(records: DataFrame, id_col: str, text_col: str, threshold: f
     left = hot.select("key", F.col("num").alias("a"), F.pmod(F.xxhash64("num"), F.lit(salts)).alias("salt"))
     right = hot.select("key", F.col("num").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
     candidates = direct.unionByName(left.join(right, ["key", "salt"]).filter("a < b").select("a", "b")).distinct()
-    sketches = info.select("num", "n", "s1", "s2").distinct()
+    sketches = info.groupBy("num").agg(F.collect_set(F.struct("s1", "s2")).alias("found")).select("num", F.explode("found").alias("s")).select("num", "s.s1", "s.s2")
     expected = SKETCH_BITS * (1 + threshold) / 2
     least = int(expected - SKETCH_SLACK * (SKETCH_BITS * (1 + threshold) / 2 * (1 - threshold) / 2) ** 0.5)
-    sk = [sketches.toDF(x, f"n_{x}", f"p_{x}", f"q_{x}") for x in ("a", "b")]
+    sk = [sketches.toDF(x, f"p_{x}", f"q_{x}") for x in ("a", "b")]
     agree = SKETCH_BITS - F.bit_count(F.col("p_a").bitwiseXOR(F.col("p_b"))) - F.bit_count(F.col("q_a").bitwiseXOR(F.col("q_b")))
-    sizes = F.least("n_a", "n_b") >= F.lit(threshold) * F.greatest("n_a", "n_b")
-    likely = cut(candidates.join(sk[0], "a").join(sk[1], "b").filter(sizes & (agree >= least)).select("a", "b").distinct())
-    sets = source.select("text").mapInArrow(_packed_sets(shingle), "num long, class binary, set binary").dropDuplicates(["num", "class"])
+    likely = cut(candidates.join(sk[0], "a").join(sk[1], "b").filter(agree >= least).select("a", "b").distinct())
+    sets = source.select("text").mapInArrow(_packed_sets(shingle), "num long, class binary, set binary")
+    sets = sets.groupBy("num").agg(F.collect_set(F.struct("class", "set")).alias("found")).select("num", F.explode("found").alias("f")).select("num", "f.class", "f.set")
     first = likely.join(sets.select(F.col("num").alias("a"), F.col("class").alias("class_a"), F.col("set").alias("set_a")), "a")
     both = first.join(sets.select(F.col("num").alias("b"), F.col("class").alias("class_b"), F.col("set").alias("set_b")), "b")
     links = both.select("class_a", "class_b", "set_a", "set_b").mapInArrow(_verify(threshold), "class_a binary, class_b binary, similarity double")

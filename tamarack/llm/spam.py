@@ -20,7 +20,7 @@ from tamarack.sources.tables import table
 
 BLOCK_BYTES = 1000
 #: Below this share of the usual ratio a page is redundant beyond any prose, sentences or not.
-EXTREME_RATIO = 0.6
+EXTREME_RATIO = 0.52
 #: Up to this multiple of the usual ratio a page without sentences is a list.
 LIST_RATIO = 1.25
 #: Pages with less of their text in sentences have low sentence punctuation.
@@ -35,12 +35,16 @@ _END = re.compile(r"[.!?…][\"'”’»)\]]*(?=\s+[^\sa-zß-öø-ÿа-яґєі
 _HAN = re.compile(r"[㐀-鿿]")
 _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ]")
+_RUN = re.compile(r"[0-9A-Za-z]{60,}")
 _BLANKS = re.compile(r"\s+")
 
 
 def block_ratio(text: str) -> float:
-    """Compressed over plain size, in blocks; the last block takes what is too short for one of its own."""
-    data = text.encode("utf-8", "surrogatepass")
+    """Compressed over plain size, in blocks; the last block takes what is too short for one of its own.
+
+    Runs that are longer than any word, such as filler and keys, say nothing about repeated words and are left out.
+    """
+    data = _RUN.sub(" ", text).encode("utf-8", "surrogatepass")
     n = max(1, len(data) // BLOCK_BYTES)
     cuts = [k * BLOCK_BYTES for k in range(n)] + [len(data)]
     return sum(len(zlib.compress(data[a:b], 6)) - 8 for a, b in zip(cuts, cuts[1:], strict=False)) / len(data)
