@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarack.llm import bpe, language, near_duplicates, packing, quota_sample, spam, splits
+from tamarack.llm import bpe, language, near_duplicates, packing, pii, quota_sample, spam, splits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_languages": language.p4_languages,
         "p5_found": near_duplicates.p5_found,
         "p5_groups": near_duplicates.p5_groups,
+        "p6_found": pii.p6_found,
+        "p6_masked": pii.p6_masked,
         "p7_ids": bpe.p7_ids,
         "p8_packed": packing.p8_packed,
         "p8_fill": packing.p8_fill,
