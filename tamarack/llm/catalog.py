@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarack.llm import bpe, language, near_duplicates, packing, pii, quota_sample, spam, splits
+from tamarack.llm import bpe, language, names, near_duplicates, packing, pii, quota_sample, spam, splits
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_found": quota_sample.p2_found,
         "p2_report": quota_sample.p2_report,
         "p2_sample": quota_sample.p2_sample,
+        "p3_found": names.p3_found,
+        "p3_entities": names.p3_entities,
         "p4_found": language.p4_found,
         "p4_languages": language.p4_languages,
         "p5_found": near_duplicates.p5_found,
