@@ -55,6 +55,8 @@ NICKNAMES = {
 }
 # Words that say what kind of body an organisation is.
 TYPE_WORDS = frozenset("agency alliance association board centre clinic coalition college commission committee council department federation foundation group hospital institute ministry network organization society trust union university".split())
+#: Compass letters in names of organisations.
+COMPASS = {"n": "northern", "s": "southern", "e": "eastern", "w": "western"}
 TITLES = frozenset("dr dre mr mrs ms mx mme mlle prof professor hon sir rev".split())
 LEGAL = frozenset("inc ltd llc corp incorporated limited ltee".split())
 SMALL = frozenset("the of and de du des la le les et for".split())
@@ -179,6 +181,8 @@ def rewritings(name: str, words: list[str]) -> tuple[str, list[str], list[str]]:
             return form, [], [form]
         form = "untyped|" + "|".join(sorted(tokens))
         return form, [], [form]
+    tokens = [COMPASS.get(w, w) for w in tokens]
+    kept = [(COMPASS.get(w, w), joined) for w, joined in kept]
     key = "org|" + "|".join(sorted(tokens))
     offers = ["untyped|" + "|".join(sorted(w for w in tokens if w not in TYPE_WORDS))] if types and len(tokens) > len(types) + 1 else []
     if "," not in _BRACKETS.sub("", name).replace(", Inc", "").replace(", Ltd", "") and "of" not in bare:
