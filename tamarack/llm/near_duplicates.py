@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm.components import hash_to_min
+from tamarack.operators.components import hash_to_min
 from tamarack.plans.lineage import cut
 from tamarack.sources.tables import table
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.functions.basic import hash_unit, nonblank
-from tamarack.llm.components import hash_to_min
+from tamarack.operators.components import hash_to_min
 from tamarack.plans.lineage import cut
 from tamarack.plans.skew import lookup_join
 from tamarack.sources.tables import table
