@@ -23,7 +23,12 @@ PHONE = r"(?:\+?1[-. \t-\r]?)?\(?[0-9]{3}\)?[-. \t-\r][0-9]{3}[-. \t-\r][0-9]{4}
 POSTAL = r"[A-Z][0-9][A-Z][ \t-\r]?[0-9][A-Z][0-9]"
 STREETS = "Street|St|Avenue|Ave|Boulevard|Blvd|Drive|Dr|Road|Rd|Lane|Ln|Place|Pl|Way|Court|Ct|Suite|Ste"
 ADDRESS = rf"[0-9]+[ \t-\r]+(?:[{WORD}]+[ \t-\r]+){{0,3}}(?:{STREETS})"
-_EDGED = rf"(?<![{WORD}]){{}}(?![{WORD}])"
+
+
+def _edged(pattern: str) -> str:
+    """The pattern with no word character on either side."""
+    return rf"(?<![{WORD}]){pattern}(?![{WORD}])"
+
 
 TOKENS_PER_WORD = 1.33
 SHORT_WORDS = 150
@@ -99,7 +104,7 @@ def tidy_space(c: Column) -> Column:
 def scrub_contacts(c: Column) -> tuple[Column, Column]:
     """(text with contact details replaced, number of replacements), kind after kind."""
     total = F.lit(0)
-    for pattern in (EMAIL, PHONE, _EDGED.format(POSTAL), "(?i)" + _EDGED.format(ADDRESS)):
+    for pattern in (EMAIL, PHONE, _edged(POSTAL), "(?i)" + _edged(ADDRESS)):
         total = total + F.regexp_count(c, F.lit(pattern))
         c = F.regexp_replace(c, pattern, "[CONTACT]")
     return c, total

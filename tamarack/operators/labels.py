@@ -67,11 +67,13 @@ def _two(text: Column, keywords: tuple[str, ...]) -> Column:
 
 
 def first_topic(text: Column, rules: Rules, loose: bool) -> Column:
-    """The first topic of which the text holds a strong word, or any word (loose), or else two plain ones; null without."""
-    low = F.lower(text)
+    """The first topic of which the text holds a strong word, or any word (loose), or else two plain ones; null without.
+
+    ``text`` is read once per rule: pass a column, not an expression that is costly to evaluate.
+    """
     choice = F.lit(None).cast("string")
     for code, strong, plain in reversed(rules):
-        holds = _any(low, strong + plain) if loose else _any(low, strong) | _two(low, plain)
+        holds = _any(text, strong + plain) if loose else _any(text, strong) | _two(text, plain)
         choice = F.when(holds, code).otherwise(choice)
     return choice
 
