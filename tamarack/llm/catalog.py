@@ -33,5 +33,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_TIED = """RECURSIVE parts AS (SELECT DISTINCT doc_id, unnest(list_filter([CASE WHEN trim(coalesce(near_dup_cluster, '')) <> '' THEN 'c:' || near_dup_cluster END]
+      || list_transform(string_split(coalesce(org, ''), ' / '), lambda x: CASE WHEN trim(x) <> '' THEN 'o:' || x END), lambda x: x IS NOT NULL)) AS k FROM corpus_fixture),
+  keys AS (SELECT doc_id, k, min(k) OVER (PARTITION BY doc_id) AS least FROM parts),
+  edges AS (SELECT least AS a, k AS b FROM keys UNION SELECT k, least FROM keys),
+  reach AS (SELECT a AS k, a AS r FROM edges UNION SELECT e.b, reach.r FROM reach JOIN edges e ON reach.k = e.a),
+  comp AS (SELECT k, min(r) AS c FROM reach GROUP BY 1),
+  tied AS (SELECT DISTINCT doc_id, c FROM keys JOIN comp USING (k))"""
+
+_NEEDS = """units AS (SELECT t, count(DISTINCT CASE WHEN trim(coalesce(near_dup_cluster, '')) = '' THEN 'r:' || doc_id ELSE 'c:' || near_dup_cluster END) AS units
+    FROM (SELECT *, regexp_replace(lower(trim(topic_seed)), '[ -]', '_', 'g') AS t FROM corpus_fixture) WHERE t <> '' GROUP BY 1),
+  needs AS (SELECT DISTINCT plan_id, regexp_replace(lower(trim(topic_seed)), '[ -]', '_', 'g') AS topic_seed, greatest(target_share * sample_rows, min_rows) AS need FROM topic_targets)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p1_found": f"WITH {_TIED} SELECT doc_id, min(doc_id) OVER (PARTITION BY c) AS group_id FROM tied QUALIFY count(*) OVER (PARTITION BY c) > 1",
+        "p2_found": f"WITH {_NEEDS} SELECT plan_id, n.topic_seed FROM needs n LEFT JOIN units u ON u.t = n.topic_seed WHERE coalesce(units, 0) < need",
+    }
