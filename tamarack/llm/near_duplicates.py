@@ -33,11 +33,12 @@ SKETCH_BITS, SKETCH_SHIFT = 128, 4096
 #: Standard deviations by which a pair at the threshold may fall short of its expected sketch agreement.
 SKETCH_SLACK = 3.6
 #: A pair at the threshold is missed by all bands with at most this probability.
-MISS_AT_THRESHOLD = 0.045
+MISS_AT_THRESHOLD = 0.02
 #: Runs of one band key longer than this are compared in a salted join instead of inside one task.
 LONG_RUN = 4000
 
-_WORD = re.compile(r"[^\W_]+")
+_ODD = re.compile(r"[^\x00-\x7f\w]")
+_ALNUM = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
 def band_shape(records: int, threshold: float) -> tuple[int, int]:
@@ -57,8 +58,14 @@ def _circle(width: int, shift: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([turned, turned[:width]]), width)
 
 
+def _split(text: str) -> list[bytes]:
+    """Maximal runs of letters and digits, lower-cased, in UTF-8: all else becomes blanks, first outside ASCII, then inside."""
+    low = text.lower()
+    return (low if low.isascii() else _ODD.sub(" ", low)).encode("utf-8", "surrogatepass").translate(_ALNUM).split()
+
+
 class _Words(dict):
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > 2_000_000:
             self.clear()
         out = self[word] = xxhash.xxh3_64_intdigest(word)
@@ -81,7 +88,7 @@ def _prepared(texts: list[str | None], size: int) -> list[tuple[bytes, np.ndarra
     known = _words("")
     counts, flat = [], []
     for t in texts:
-        found = _WORD.findall(t.lower()) if t else []
+        found = _split(t) if t else []
         counts.append(len(found))
         flat.extend(map(known.__getitem__, found))
     h = np.array(flat, dtype=np.uint64)
@@ -191,13 +198,13 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _packed_sets(size: int):
-    """Number, class and the upper 32 bits of the distinct shingles of each class of a batch."""
+    """Number, class and the upper 32 bits of the distinct shingles of each record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_class = dict(p for p in _prepared(batch.column(0).to_pylist(), size) if p)
-            packed = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for s in by_class.values()]
-            yield pa.RecordBatch.from_arrays([pa.array([_number(c) for c in by_class], pa.int64()), pa.array(list(by_class), pa.binary()), pa.array(packed, pa.binary())], ["num", "class", "set"])
+            made = [p for p in _prepared(batch.column(0).to_pylist(), size) if p]
+            packed = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for _, s in made]
+            yield pa.RecordBatch.from_arrays([pa.array([_number(c) for c, _ in made], pa.int64()), pa.array([c for c, _ in made], pa.binary()), pa.array(packed, pa.binary())], ["num", "class", "set"])
 
     return run
 
@@ -247,7 +254,10 @@ def similar_classes(records: DataFrame, id_col: str, text_col: str, threshold: f
     sk = [sketches.toDF(x, f"p_{x}", f"q_{x}") for x in ("a", "b")]
     agree = SKETCH_BITS - F.bit_count(F.col("p_a").bitwiseXOR(F.col("p_b"))) - F.bit_count(F.col("q_a").bitwiseXOR(F.col("q_b")))
     likely = cut(candidates.join(sk[0], "a").join(sk[1], "b").filter(agree >= least).select("a", "b").distinct())
-    sets = source.select("text").mapInArrow(_packed_sets(shingle), "num long, class binary, set binary")
+    # one record of each class that is in a likely pair is read again and cut into its shingles
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("num")).distinct()
+    heads = info.groupBy("class").agg(F.min("id").alias("id"), F.min("num").alias("num")).join(wanted, "num", "left_semi").select("id")
+    sets = source.join(heads, "id", "left_semi").select("text").mapInArrow(_packed_sets(shingle), "num long, class binary, set binary")
     sets = sets.groupBy("num").agg(F.collect_set(F.struct("class", "set")).alias("found")).select("num", F.explode("found").alias("f")).select("num", "f.class", "f.set")
     first = likely.join(sets.select(F.col("num").alias("a"), F.col("class").alias("class_a"), F.col("set").alias("set_a")), "a")
     both = first.join(sets.select(F.col("num").alias("b"), F.col("class").alias("class_b"), F.col("set").alias("set_b")), "b")
