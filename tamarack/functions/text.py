@@ -98,7 +98,7 @@ def join_hyphens(c: Column) -> Column:
 def tidy_space(c: Column) -> Column:
     """Blanks and tabs as one blank, at most one empty line, no blanks at line ends, stripped."""
     c = F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
-    return strip(F.regexp_replace(c, r"[\t\x{0b}\x{0c}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+(?=\n|\z)", ""))
+    return strip(F.regexp_replace(c, r"[\t\x{0b}-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+(?=\n|\z)", ""))
 
 
 def scrub_contacts(c: Column) -> tuple[Column, Column]:

@@ -10,7 +10,7 @@ from tamarack.functions.text import EMAIL, LIGATURES, MARKER, STREETS, WS
 from tamarack.operators.labels import EXEMPT_TITLES, FALLBACK, HEALTH_TOPICS, INDIVIDUAL, keyword_pattern
 
 _ENDS = r"\r\n|[\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
-_TRAIL = r"[\t\x{0b}\x{0c}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_TRAIL = r"[\t\x{0b}-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 _NL = "chr(10)"
 
 
