@@ -105,7 +105,7 @@ def doc_title(s: SparkSession, d: str) -> DataFrame:
 
 def _topics(s: SparkSession, d: str) -> DataFrame:
     cards = _docs(s, d, "study_title").select("doc_id", "study_title", text.card_simple(C("text")).alias("card"))
-    return cards.select("doc_id", labels.topic_content_first(C("card"), C("study_title")).alias("content_first"), labels.topic_title_first(C("card"), C("study_title")).alias("title_first"))
+    return labels.with_topics(cards, "card", "study_title", content_first="content_first", title_first="title_first").select("doc_id", "content_first", "title_first")
 
 
 def topic_labels(s: SparkSession, d: str) -> DataFrame:

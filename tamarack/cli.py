@@ -70,7 +70,7 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         rules, fallback, exempt = labels.rules_from(files.read_rules(args.rules)) if args.rules else (labels.HEALTH_TOPICS, labels.FALLBACK, labels.EXEMPT_TITLES)
         out = corpus.build_corpus(read("manifest"), read("texts"), read("lookup"), rules, exempt, fallback, args.card == "tiered")
         if args.compare:
-            both = out.withColumn("title_first", labels.topic_title_first(F.col("card_text"), F.col("study_title"), rules, exempt, fallback))
+            both = labels.with_topics(out, "card_text", "study_title", rules, exempt, fallback, None, "title_first")
             labels.label_deltas(both, "title_first", "topic_seed").orderBy("topic").show(100, False)
             return 0
         return _finish(out, args, sinks.write_corpus)

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 #: Characters that str.split() and str.strip() treat as white space.
 WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+#: The same, one by one.
+WS_CHARS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: White space within a line.
+GAP = WS.replace(r"\t-\r", r"\t\x{0b}-\r")
 #: Characters of words.
 WORD = r"\p{L}\p{N}_"
 #: A page marker on its own line.
@@ -37,12 +41,17 @@ CARD_WORDS = 250
 
 def strip(c: Column) -> Column:
     """str.strip(): white space off both ends."""
-    return F.regexp_replace(c, rf"^[{WS}]+|[{WS}]+$", "")
+    return F.trim(c, F.lit(WS_CHARS))
+
+
+def one_line_end(c: Column) -> Column:
+    """Every line end as \\n."""
+    return F.regexp_replace(c, r"\r\n|[\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]", "\n")
 
 
 def lines(c: Column) -> Column:
     """str.splitlines() as an array: every line end counts, a last empty line does not."""
-    one = F.regexp_replace(c, r"\r\n|[\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]", "\n")
+    one = one_line_end(c)
     return F.when(F.length(one) == 0, F.array().cast("array<string>")).otherwise(F.split(F.regexp_replace(one, r"\n\z", ""), "\n", -1))
 
 
@@ -53,7 +62,8 @@ def words(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(words(c))
+    """Number of words, counted without making them."""
+    return F.regexp_count(c, F.lit(rf"[^{WS}]++"))
 
 
 def approx_tokens(c: Column) -> Column:
@@ -98,13 +108,15 @@ def join_hyphens(c: Column) -> Column:
 def tidy_space(c: Column) -> Column:
     """Blanks and tabs as one blank, at most one empty line, no blanks at line ends, stripped."""
     c = F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
-    return strip(F.regexp_replace(c, r"[\t\x{0b}-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+(?=\n|\z)", ""))
+    return strip(F.regexp_replace(c, rf"(?<![{GAP}])[{GAP}]++(?=\n|\z)", ""))
 
 
 def scrub_contacts(c: Column) -> tuple[Column, Column]:
     """(text with contact details replaced, number of replacements), kind after kind."""
     total = F.lit(0)
-    for pattern in (EMAIL, PHONE, _edged(POSTAL), "(?i)" + _edged(ADDRESS)):
+    # an address can only start where a run of its characters does, or where the last one ended
+    email = rf"(?:(?<![{WORD}.+%-])|\G){EMAIL}"
+    for pattern in (email, PHONE, _edged(POSTAL), "(?i)" + _edged(ADDRESS)):
         total = total + F.regexp_count(c, F.lit(pattern))
         c = F.regexp_replace(c, pattern, "[CONTACT]")
     return c, total
@@ -112,11 +124,13 @@ def scrub_contacts(c: Column) -> tuple[Column, Column]:
 
 def is_mangled(c: Column, short_share: float = 0.40, digit_share: float = 0.02) -> Column:
     """Many lines of under four words and many digits: a table or form that lost its layout."""
-    full = F.filter(lines(c), lambda x: F.length(strip(x)) > 0)
-    short = F.size(F.filter(full, lambda x: word_count(x) < 4)) / F.size(full)
+    # lines are counted by what they hold, not made: a full line has a word, a long one at least four
+    one = one_line_end(c)
+    full = F.regexp_count(one, F.lit(rf"(?<![^\n])[{GAP}]*+[^{WS}][^\n]*+"))
+    long = F.regexp_count(one, F.lit(rf"(?<![^\n])[{GAP}]*+(?:[^{WS}]++[{GAP}]++){{3}}[^{WS}][^\n]*+"))
     dense = F.translate(c, " \n", "")
     digits = F.regexp_count(dense, F.lit(r"\p{Nd}|[²³¹⁰-⁹₀-₉①-⑨]")) / F.greatest(F.length(dense), F.lit(1))
-    return (F.size(full) > 0) & (short > short_share) & (digits > digit_share)
+    return (full > 0) & ((full - long) / F.greatest(full, F.lit(1)) > short_share) & (digits > digit_share)
 
 
 def is_caps_heading(c: Column, longest: int = 120, letters: int = 4, upper_share: float = 0.70) -> Column:
@@ -126,7 +140,8 @@ def is_caps_heading(c: Column, longest: int = 120, letters: int = 4, upper_share
 
 
 def first_words(c: Column, n: int = CARD_WORDS) -> Column:
-    return F.array_join(F.slice(words(unmarked(c)), 1, n), " ")
+    """The first n words; the rest of the text is not cut up."""
+    return F.array_join(F.slice(F.split(strip(unmarked(c)), rf"[{WS}]+", n + 1), 1, n), " ")
 
 
 def card_simple(c: Column) -> Column:
@@ -140,12 +155,11 @@ def card_tiered(title: Column, body: Column) -> Column:
 
 def doc_title(c: Column, most_lines: int = 4, most_chars: int = 200) -> Column:
     """The first block of a text, up to an empty line or a page marker, as one line."""
-    stripped = F.transform(lines(c), strip)
-    start = F.array_position(F.transform(stripped, lambda x: (F.length(x) > 0) & ~x.startswith("[[page")), True)
-    tail = F.slice(stripped, F.greatest(start, F.lit(1)).cast("int"), most_lines)
-    stop = F.array_position(F.transform(tail, lambda x: (F.length(x) == 0) | x.startswith("[[page")), True)
-    block = F.when(stop > 0, F.slice(tail, F.lit(1), (stop - 1).cast("int"))).otherwise(tail)
-    return F.when(start > 0, F.substring(F.array_join(block, " "), 1, most_chars)).otherwise("")
+    opened = F.regexp_replace(one_line_end(c), rf"^(?:[{GAP}]*+(?:\[\[page[^\n]*+)?(?:\n|\z))++", "")
+    head = F.transform(F.slice(F.split(opened, "\n", most_lines + 1), 1, most_lines), strip)
+    stop = F.array_position(F.transform(head, lambda x: (F.length(x) == 0) | x.startswith("[[page")), True)
+    block = F.when(stop > 0, F.slice(head, F.lit(1), (stop - 1).cast("int"))).otherwise(head)
+    return F.substring(F.array_join(block, " "), 1, most_chars)
 
 
 def snippet(c: Column, n: int, newline: str = " ") -> Column:

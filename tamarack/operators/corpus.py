@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.functions.text import card_simple, card_tiered, doc_title
-from tamarack.operators.labels import EXEMPT_TITLES, FALLBACK, HEALTH_TOPICS, stakeholders, topic_content_first
+from tamarack.operators.labels import EXEMPT_TITLES, FALLBACK, HEALTH_TOPICS, stakeholders, with_topics
 
 
 def clean_eligible() -> Column:
@@ -62,5 +62,5 @@ def build_corpus(manifest: DataFrame, texts: DataFrame, lookup: DataFrame, rules
         F.concat(F.lit("clean/"), "doc_id", F.lit(".txt")).alias("full_text_path"),
         "near_dup_cluster",
     )
-    labelled = carded.withColumn("topic_seed", topic_content_first(F.col("card_text"), F.col("study_title"), rules, exempt, fallback)).withColumn("label_source", F.lit("weak"))
+    labelled = with_topics(carded, "card_text", "study_title", rules, exempt, fallback).withColumn("label_source", F.lit("weak"))
     return stakeholders(labelled, "org", lookup).select("doc_id", "Name", "org", "source_type", "date", "language", "study_title", "card_text", "text_org_masked_path", "full_text_path", "topic_seed", "stakeholder_type", "label_source", "near_dup_cluster")

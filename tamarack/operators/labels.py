@@ -54,41 +54,51 @@ def keyword_pattern(keyword: str) -> str:
     return keyword[3:] if keyword.startswith("re:") else re.sub(r"([^\w\s'é])", r"\\\1", keyword)
 
 
-def _any(text: Column, keywords: tuple[str, ...]) -> Column:
-    """One alternation for all keywords, so the text is scanned once and the plan stays small."""
-    return text.rlike("(?iu)" + "|".join(f"(?:{keyword_pattern(k)})" for k in keywords)) if keywords else F.lit(False)
+def _holds(low: Column, keyword: str) -> Column:
+    return low.rlike(f"(?iu){keyword_pattern(keyword)}") if keyword.startswith("re:") else low.contains(keyword.lower())
 
 
-def _two(text: Column, keywords: tuple[str, ...]) -> Column:
+def _any(low: Column, keywords: tuple[str, ...]) -> Column:
+    out = F.lit(False)
+    for k in keywords:
+        out = out | _holds(low, k)
+    return out
+
+
+def _two(low: Column, keywords: tuple[str, ...]) -> Column:
     hits = F.lit(0)
     for k in keywords:
-        hits = hits + text.rlike(f"(?iu){keyword_pattern(k)}").cast("int")
+        hits = hits + _holds(low, k).cast("int")
     return hits >= 2
 
 
-def first_topic(text: Column, rules: Rules, loose: bool) -> Column:
-    """The first topic of which the text holds a strong word, or any word (loose), or else two plain ones; null without.
-
-    ``text`` is read once per rule: pass a column, not an expression that is costly to evaluate.
-    """
+def first_topic(low: Column, rules: Rules, loose: bool) -> Column:
+    """The first topic of which the lower-case text holds a strong word, or any word (loose), or else two plain ones; null without."""
     choice = F.lit(None).cast("string")
     for code, strong, plain in reversed(rules):
-        holds = _any(text, strong + plain) if loose else _any(text, strong) | _two(text, plain)
+        holds = _any(low, strong + plain) if loose else _any(low, strong) | _two(low, plain)
         choice = F.when(holds, code).otherwise(choice)
     return choice
 
 
-def _title_topic(title: Column, rules: Rules, exempt: tuple[str, ...]) -> Column:
-    low = F.lower(title)
+def _title_topic(low: Column, rules: Rules, exempt: tuple[str, ...]) -> Column:
     return F.when((F.length(low) > 0) & ~low.isin(*exempt), first_topic(low, rules, loose=True)) if exempt else first_topic(low, rules, loose=True)
 
 
-def topic_content_first(card: Column, title: Column, rules: Rules = HEALTH_TOPICS, exempt: tuple[str, ...] = EXEMPT_TITLES, fallback: str = FALLBACK) -> Column:
-    return F.coalesce(first_topic(card, rules, loose=False), _title_topic(title, rules, exempt), F.lit(fallback))
-
+def with_topics(df: DataFrame, card: str, title: str, rules: Rules = HEALTH_TOPICS, exempt: tuple[str, ...] = EXEMPT_TITLES, fallback: str = FALLBACK, content_first: str | None = "topic_seed", title_first: str | None = None) -> DataFrame:
+    """df with the topic by content first, by title first, or both, under the given column names.
 
-def topic_title_first(card: Column, title: Column, rules: Rules = HEALTH_TOPICS, exempt: tuple[str, ...] = EXEMPT_TITLES, fallback: str = FALLBACK) -> Column:
-    return F.coalesce(_title_topic(title, rules, exempt), first_topic(card, rules, loose=True), F.lit(fallback))
+    Both texts are lower-cased once, in a step of their own, since every rule reads them. Null texts
+    hold no keyword.
+    """
+    low = df.select("*", F.lower(card).alias("_card"), F.lower(title).alias("_title"))
+    by_title = _title_topic(F.col("_title"), rules, exempt)
+    wanted = []
+    if content_first:
+        wanted.append(F.coalesce(first_topic(F.col("_card"), rules, loose=False), by_title, F.lit(fallback)).alias(content_first))
+    if title_first:
+        wanted.append(F.coalesce(by_title, first_topic(F.col("_card"), rules, loose=True), F.lit(fallback)).alias(title_first))
+    return low.select(*df.columns, *wanted)
 
 
 def transition_matrix(labels: DataFrame, old: str, new: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tamarack.functions.scalars import bar
 from tamarack.operators.splits import dominant  # noqa: F401  (part of this module's interface)
+from tamarack.plans.lineage import cut
 
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
@@ -21,7 +22,7 @@ def order_statistics(df: DataFrame, value: Column, wanted: dict[str, Column]) ->
 
     Values are counted first, so what is ranked is the distinct values, range by range.
     """
-    counts = df.select(value.alias("v")).filter("v is not null").groupBy("v").agg(F.count("*").alias("c"))
+    counts = cut(df.select(value.alias("v")).filter("v is not null").groupBy("v").agg(F.count("*").alias("c")))
     parts = counts.repartitionByRange("v").withColumn("part", F.spark_partition_id())
     sizes = parts.groupBy("part").agg(F.sum("c").alias("s"))
     before = sizes.select("part", F.coalesce(F.sum("s").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))

@@ -99,7 +99,7 @@ def test_topics(spark):
         (None, None, "unlabeled", "unlabeled"),
     ]
     df = spark.createDataFrame(rows, "card string, title string, c string, t string")
-    got = df.select("c", "t", labels.topic_content_first(F.col("card"), F.col("title")).alias("cf"), labels.topic_title_first(F.col("card"), F.col("title")).alias("tf")).collect()
+    got = labels.with_topics(df, "card", "title", content_first="cf", title_first="tf").collect()
     for r in got:
         assert (r["cf"], r["tf"]) == (r["c"], r["t"])
 
