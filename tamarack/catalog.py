@@ -12,7 +12,7 @@ from tamarack.functions import scalars, text
 from tamarack.operators import chunks, clean, corpus, dedupe, harvest, ids, labels, qa, sampling, splits
 from tamarack.operators.latest import latest
 from tamarack.sources import files, html, sinks
-from tamarack.sources.tables import table
+from tamarack.sources.tables import table, text_table
 
 #: Thresholds at which the embeddings of the test tables have pairs at all.
 COSINE, COSINE_STRICT = 0.35, 0.40
@@ -21,7 +21,7 @@ C = F.col
 
 
 def _docs(spark: SparkSession, sf: str, *more: str) -> DataFrame:
-    return table(spark, sf, "documents", "doc_id", "text", *more).filter("text is not null")
+    return text_table(spark, sf, "documents", "doc_id", "text", *more).filter("text is not null")
 
 
 def _manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,7 +67,7 @@ def word_counts(s: SparkSession, d: str) -> DataFrame:
 
 def scrub_contacts(s: SparkSession, d: str) -> DataFrame:
     scrubbed, n = text.scrub_contacts(C("card_text"))
-    return _corpus(s, d).filter("card_text is not null").select("doc_id", F.sha2(scrubbed, 256).alias("h"), n.cast("int").alias("n_contacts")).distinct()
+    return text_table(s, d, "corpus_fixture", "doc_id", "card_text").filter("card_text is not null").select("doc_id", F.sha2(scrubbed, 256).alias("h"), n.cast("int").alias("n_contacts")).distinct()
 
 
 def whitespace_normalize(s: SparkSession, d: str) -> DataFrame:
