@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarack.sources.tables import table
+from tamarack.sources.tables import text_table
 
 DEFAULT_TOKENIZERS = "/opt/tokenizers"
 # The split pattern that the byte-level vocabularies of this family are defined with.
@@ -210,4 +210,4 @@ def encode_column(df: DataFrame, id_col: str, text_col: str, tokenizer_name: str
 
 
 def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return encode_column(table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")
+    return encode_column(text_table(spark, sf, "documents", "doc_id", "text"), "doc_id", "text")

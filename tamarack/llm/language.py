@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tamarack.functions.basic import hash_unit
-from tamarack.sources.tables import table
+from tamarack.sources.tables import text_table
 
 LANGUAGES = ("de", "en", "es", "fr", "pt", "uk", "zh")
 #: Other forms of the codes (three letters, English name).
@@ -233,7 +233,7 @@ def segments(labelled: DataFrame) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return languages(table(spark, sf, "corpus_fixture", "doc_id", "card_text", "language"), "doc_id", "card_text", "language")
+    return languages(text_table(spark, sf, "corpus_fixture", "doc_id", "card_text", "language"), "doc_id", "card_text", "language")
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tamarack.operators.components import hash_to_min
 from tamarack.plans.lineage import cut
-from tamarack.sources.tables import table
+from tamarack.sources.tables import text_table
 
 #: Places on the circle; collisions of a record's shingles are about its size squared over this.
 CIRCLE = 1 << 20
@@ -274,13 +274,13 @@ def similar_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    members, links = similar_classes(table(spark, sf, "corpus_fixture", "doc_id", "card_text"), "doc_id", "card_text", threshold=0.5, shingle=3)
+    members, links = similar_classes(text_table(spark, sf, "corpus_fixture", "doc_id", "card_text"), "doc_id", "card_text", threshold=0.5, shingle=3)
     return similar_pairs(members, links).toDF("doc_a", "doc_b")
 
 
 def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
     """One row per record with shingles: its group (smallest id linked directly or indirectly), its class's links and its copies."""
-    members, links = similar_classes(table(spark, sf, "corpus_fixture", "doc_id", "card_text"), "doc_id", "card_text", threshold=0.5, shingle=3)
+    members, links = similar_classes(text_table(spark, sf, "corpus_fixture", "doc_id", "card_text"), "doc_id", "card_text", threshold=0.5, shingle=3)
     named = links.select(F.hex("class_a").alias("a"), F.hex("class_b").alias("b"))
     comps = hash_to_min(named)
     degree = named.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count("*").alias("n_links"))

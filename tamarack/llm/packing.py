@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tamarack.llm.bpe import DEFAULT_TOKENIZERS, load, vocabulary_path
 from tamarack.plans.lineage import cut
-from tamarack.sources.tables import table
+from tamarack.sources.tables import table, text_table
 
 #: Windows a plan keeps open in a partition.
 OPEN_WINDOWS = 64
@@ -147,7 +147,7 @@ def _plans(spark: SparkSession, sf: str) -> list[tuple[int, str, int]]:
 
 def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
     """Every piece of every document with its container, for each plan."""
-    return pack(table(spark, sf, "documents", "doc_id", "text"), _plans(spark, sf))
+    return pack(text_table(spark, sf, "documents", "doc_id", "text"), _plans(spark, sf))
 
 
 def p8_fill(spark: SparkSession, sf: str) -> DataFrame:

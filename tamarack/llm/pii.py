@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.sources.tables import table
+from tamarack.sources.tables import text_table
 
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID]", "address": "[ADDRESS]", "person": "[NAME]"}
 
@@ -225,7 +225,7 @@ def find_personal(records: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _both(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [find_personal(table(spark, sf, t, "doc_id", "card_text"), "doc_id", "card_text").select(F.lit(t).alias("tbl"), "doc_id", "masked", "items") for t in ("corpus_fixture", "topup_sheet")]
+    parts = [find_personal(text_table(spark, sf, t, "doc_id", "card_text"), "doc_id", "card_text").select(F.lit(t).alias("tbl"), "doc_id", "masked", "items") for t in ("corpus_fixture", "topup_sheet")]
     return parts[0].unionByName(parts[1])
 
 

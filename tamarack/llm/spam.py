@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.plans.lineage import cut
-from tamarack.sources.tables import table
+from tamarack.sources.tables import text_table
 
 BLOCK_BYTES = 1000
 #: Below this share of the usual ratio a page is redundant beyond any prose, sentences or not.
@@ -106,7 +106,7 @@ def spam_scores(pages: DataFrame, id_col: str, text_col: str, lang_col: str | No
 
 
 def p9_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return spam_scores(table(spark, sf, "documents", "doc_id", "text", "lang"), "doc_id", "text", "lang")
+    return spam_scores(text_table(spark, sf, "documents", "doc_id", "text", "lang"), "doc_id", "text", "lang")
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
