@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +40,17 @@ LABEL_FORMS = {
 ROWS_PER_LABEL = 400
 FEATURES = 1 << 14
 LONGEST_GRAM = 4
-EPOCHS, BATCH = 6, 32
+EPOCHS, BATCH = 4, 64
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
-#: How much likelier than the record's main language a line's own must be to count, as a difference of calibrated scores.
-LINE_MARGIN = 2.5
+#: How much likelier than the record's main language a line's own must be to count, as a difference of calibrated scores:
+#: by all words, and by its lower-case words, which names are not among; not so where a language writes all nouns with capitals.
+LINE_MARGIN, PLAIN_MARGIN, CAPITAL_NOUNS = 4.0, 1.0, ("de",)
 #: Lines with fewer letters keep the record's main language.
 LINE_LETTERS = 12
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LINES = re.compile(r"\r\n|\n|\r")
+_ADDRESS = re.compile(r"\S*@\S*|https?:\S*")
 
 
 def label_code(label: Column) -> Column:
@@ -58,6 +61,13 @@ def label_code(label: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), bare)
 
 
+def line_words(line: str) -> tuple[list[str], list[bool]]:
+    """The words of a line in lower case, without addresses, and which of them were so written."""
+    words = _LETTERS.findall(_ADDRESS.sub(" ", line) if "@" in line or "http" in line else line)
+    low = list(map(str.lower, words))
+    return low, list(map(eq, words, low))
+
+
 @cache
 def _grams(word: str) -> np.ndarray:
     text = f" {word} "
@@ -85,7 +95,7 @@ class Model:
 def _vectors(texts: list[str], idf: np.ndarray | None) -> np.ndarray:
     out = np.zeros((len(texts), FEATURES), dtype=np.float32)
     for k, t in enumerate(texts):
-        words = _LETTERS.findall(t.lower())
+        words, _ = line_words(t)
         if words:
             g = np.concatenate([_grams(w) for w in words])
             out[k] = np.bincount(g, minlength=FEATURES) / np.sqrt(len(g))
@@ -162,19 +172,21 @@ def _label_lines(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
+        nouns = [LANGUAGES.index(c) for c in CAPITAL_NOUNS]
         shares = np.zeros((1024, len(LANGUAGES) + 1), dtype=np.float32)
         schema = pa.schema([("id", pa.string()), ("code", pa.string()), ("main", pa.string()), ("main_conf", pa.float64()), ("langs", pa.list_(pa.string())), ("confs", pa.list_(pa.float64()))])
         for batch in batches:
             if len(known) > 500_000:
                 known.clear()
-            ids, starts, letters, owner = [], [], [], []
+            ids, plain, starts, letters, owner = [], [], [], [], []
             docs = batch.column(1).to_pylist()
             for d, text in enumerate(docs):
                 for line in _LINES.split(text) if text else ():
                     if not line or line.isspace():
                         continue
-                    words = _LETTERS.findall(line.lower())
+                    words, as_is = line_words(line)
                     starts.append(len(ids))
+                    plain += as_is
                     letters.append(sum(map(len, words)))
                     owner.append(d)
                     for w in words:
@@ -187,11 +199,15 @@ def _label_lines(model: Model):
                         ids.append(k)
             out: list[list] = [[] for _ in schema]
             if owner:
-                summed = np.zeros((len(owner), shares.shape[1]), dtype=np.float32)
+                summed, lower = (np.zeros((len(owner), shares.shape[1]), dtype=np.float32) for _ in range(2))
                 filled = np.flatnonzero(np.diff([*starts, len(ids)]) > 0)
                 if len(filled):
-                    summed[filled] = np.add.reduceat(shares[ids], np.array(starts)[filled], axis=0)
-                score = model.scores(summed)
+                    each, at = shares[ids], np.array(starts)[filled]
+                    summed[filled] = np.add.reduceat(each, at, axis=0)
+                    lower[filled] = np.add.reduceat(each * np.array(plain, dtype=np.float32)[:, None], at, axis=0)
+                score, plain_score = model.scores(summed), model.scores(lower)
+                capitals = lower[:, -1] < LINE_LETTERS
+                plain_score[capitals] = score[capitals]
                 prob, n, own = _softmax(score), np.array(letters), np.array(owner)
                 best = score.argmax(axis=1)
                 keys, codes = batch.column(0).to_pylist(), batch.column(2).to_pylist()
@@ -201,7 +217,10 @@ def _label_lines(model: Model):
                     if not mass.any():
                         continue
                     main = int(mass.argmax())
-                    lines = np.where((score[np.arange(a, b), best[a:b]] - score[a:b, main] >= LINE_MARGIN) & (n[a:b] >= LINE_LETTERS), best[a:b], main)
+                    rows = np.arange(a, b)
+                    lead, plain_lead = (x[rows, best[a:b]] - x[a:b, main] for x in (score, plain_score))
+                    sure = (lead >= LINE_MARGIN) & ((plain_lead >= PLAIN_MARGIN) | np.isin(best[a:b], nouns))
+                    lines = np.where(sure & (n[a:b] >= LINE_LETTERS), best[a:b], main)
                     weight = n[a:b] / n[a:b].sum()
                     row = (keys[own[a]], codes[own[a]], LANGUAGES[main], float((prob[a:b, main] * weight).sum()), [LANGUAGES[k] for k in lines], [float(prob[a + i, k]) for i, k in enumerate(lines)])
                     for c, v in zip(out, row, strict=True):
