@@ -37,7 +37,7 @@ LABEL_FORMS = {
     "zh": ("zho", "chi", "chinese"),
 }
 #: Labelled rows used for training, per label.
-ROWS_PER_LABEL = 400
+ROWS_PER_LABEL = 300
 FEATURES = 1 << 14
 LONGEST_GRAM = 4
 EPOCHS, BATCH = 4, 64
@@ -92,14 +92,14 @@ class Model:
         return raw / self.temperature
 
 
-def _vectors(texts: list[str], idf: np.ndarray | None) -> np.ndarray:
+def _vectors(texts: list[str]) -> np.ndarray:
     out = np.zeros((len(texts), FEATURES), dtype=np.float32)
     for k, t in enumerate(texts):
         words, _ = line_words(t)
         if words:
             g = np.concatenate([_grams(w) for w in words])
             out[k] = np.bincount(g, minlength=FEATURES) / np.sqrt(len(g))
-    return out if idf is None else out * idf
+    return out
 
 
 def _softmax(s: np.ndarray) -> np.ndarray:
@@ -107,13 +107,13 @@ def _softmax(s: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _leader(x: np.ndarray, y: np.ndarray, classes: int) -> np.ndarray:
-    """Follow-the-regularised-leader over mini-batches; the last row of the result is the unpenalised bias."""
+def _leader(x: np.ndarray, y: np.ndarray, use: np.ndarray, classes: int) -> np.ndarray:
+    """Follow-the-regularised-leader over mini-batches of the rows ``use``; the last row of the result is the unpenalised bias."""
     rows = x.shape[1] + 1
     z, n, w = (np.zeros((rows, classes), dtype=np.float32) for _ in range(3))
     rng = np.random.default_rng(7)
     for _ in range(EPOCHS):
-        for part in np.array_split(rng.permutation(len(x)), max(1, len(x) // BATCH)):
+        for part in np.array_split(rng.permutation(use), max(1, len(use) // BATCH)):
             p = _softmax(x[part] @ w[:-1] + w[-1])
             p[np.arange(len(part)), y[part]] -= 1
             g = np.vstack([x[part].T @ p, p.sum(axis=0)]) / len(part)
@@ -139,19 +139,18 @@ def train(rows: list[tuple[str, str]]) -> Model:
     y = np.array([LANGUAGES.index(c) for _, c in rows], dtype=np.int64)
     if not len(y):
         return Model(np.zeros((FEATURES + 1, len(LANGUAGES))), np.ones(FEATURES))
-    plain = _vectors(texts, None)
-    idf = np.log((1 + len(texts)) / (1 + (plain > 0).sum(axis=0))).astype(np.float32) + 1
-    x = plain * idf
-    held = np.arange(len(y)) % 5 == 4
-    if held.all() or not held.any():
-        held[:] = False
-    w = _leader(x, y, len(LANGUAGES))
+    # one matrix of rows x features, weighted in place: at most languages x ROWS_PER_LABEL x FEATURES x 4 bytes
+    x = _vectors(texts)
+    idf = np.log((1 + len(texts)) / (1 + np.count_nonzero(x, axis=0))).astype(np.float32) + 1
+    x *= idf
+    rows_ = np.arange(len(y))
+    held = (rows_ % 5 == 4) & (len(y) >= 10)
+    w = _leader(x, y, rows_[~held], len(LANGUAGES))
     p = _softmax(x @ w[:-1] + w[-1])
-    clean = p[np.arange(len(y)), y] > 0.5 * p.max(axis=1)
-    fit = clean & ~held
-    w = _leader(x[fit], y[fit], len(LANGUAGES)) if fit.any() else w
-    test = held & clean
-    return Model(w, idf, _temperature(x[test] @ w[:-1] + w[-1], y[test]) if test.any() else 1.0)
+    clean = p[rows_, y] > 0.5 * p.max(axis=1)
+    fit, test = rows_[clean & ~held], rows_[clean & held]
+    w = _leader(x, y, fit, len(LANGUAGES)) if len(fit) else w
+    return Model(w, idf, _temperature(x[test] @ w[:-1] + w[-1], y[test]) if len(test) else 1.0)
 
 
 def training_rows(records: DataFrame, text: str, code: str, per_label: int = ROWS_PER_LABEL) -> list[tuple[str, str]]:
