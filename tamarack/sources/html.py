@@ -152,6 +152,7 @@ def study_list(html: str | None) -> list[dict]:
     return [{"position": k, "study_id": i, "title": t} for k, (i, t) in enumerate(out.items())]
 
 
+# Addresses of a study's report and of the response to it.
 _REPORT = re.compile(r"/DocumentViewer/en/\d+-\d+/HESA/report-\d+/$")
 _RESPONSE = re.compile(r"/DocumentViewer/en/\d+-\d+/HESA/report-\d+/response-")
 
