@@ -42,9 +42,9 @@ FEATURES = 1 << 14
 LONGEST_GRAM = 4
 EPOCHS, BATCH = 4, 64
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
-#: How much likelier than the record's main language a line's own must be to count, as a difference of calibrated scores:
+#: How far a line's own language must lead the record's main one to count, as a difference of the model's scores before calibration:
 #: by all words, and by its lower-case words, which names are not among; not so where a language writes all nouns with capitals.
-LINE_MARGIN, PLAIN_MARGIN, CAPITAL_NOUNS = 4.0, 1.0, ("de",)
+LINE_MARGIN, PLAIN_MARGIN, CAPITAL_NOUNS = 0.8, 0.2, ("de",)
 #: Lines with fewer letters keep the record's main language.
 LINE_LETTERS = 12
 
@@ -217,7 +217,7 @@ def _label_lines(model: Model):
                         continue
                     main = int(mass.argmax())
                     rows = np.arange(a, b)
-                    lead, plain_lead = (x[rows, best[a:b]] - x[a:b, main] for x in (score, plain_score))
+                    lead, plain_lead = (model.temperature * (x[rows, best[a:b]] - x[a:b, main]) for x in (score, plain_score))
                     sure = (lead >= LINE_MARGIN) & ((plain_lead >= PLAIN_MARGIN) | np.isin(best[a:b], nouns))
                     lines = np.where(sure & (n[a:b] >= LINE_LETTERS), best[a:b], main)
                     weight = n[a:b] / n[a:b].sum()
