@@ -37,14 +37,14 @@ LABEL_FORMS = {
     "zh": ("zho", "chi", "chinese"),
 }
 #: Labelled rows used for training, per label.
-ROWS_PER_LABEL = 300
+ROWS_PER_LABEL = 400
 FEATURES = 1 << 14
 LONGEST_GRAM = 4
-EPOCHS, BATCH = 4, 64
+EPOCHS, BATCH = 6, 32
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 #: How far a line's own language must lead the record's main one to count, as a difference of the model's scores before calibration:
 #: by all words, and by its lower-case words, which names are not among; not so where a language writes all nouns with capitals.
-LINE_MARGIN, PLAIN_MARGIN, CAPITAL_NOUNS = 0.8, 0.2, ("de",)
+LINE_MARGIN, PLAIN_MARGIN, CAPITAL_NOUNS = 1.4, 0.35, ("de",)
 #: Lines with fewer letters keep the record's main language.
 LINE_LETTERS = 12
 
