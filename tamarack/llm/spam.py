@@ -1,7 +1,7 @@
 """Keyword-stuffed and link-list pages (problem 9).
 
 Every page is compressed in blocks; its mean ratio is divided by what pages of its language and
-length usually reach, a statistic of all pages. Extreme redundancy flags a page by itself, ordinary
+length usually reach, a statistic of the distinct pages of sentences, which copies cannot move. Extreme redundancy flags a page by itself, ordinary
 redundancy only where the share of its text that stands in punctuated sentences is low.
 """
 
@@ -12,6 +12,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,10 @@ LEAST_CHARS = 160
 #: A language and length with fewer pages takes the ratio of its script and length, then 0.57.
 LEAST_PAGES = 20
 USUAL = 0.57
+#: Only pages with at least this share of their text in sentences say what is usual.
+PROSE = 0.5
+#: The usual ratio is never taken as lower; what falls below EXTREME_RATIO times it is no prose and says nothing about what is usual.
+LEAST_USUAL = 0.4
 
 _END = re.compile(r"[.!?…][\"'”’»)\]]*(?=\s+[^\sa-zß-öø-ÿа-яґєії]|\s*$)|[。！？]")
 _HAN = re.compile(r"[㐀-鿿]")
@@ -70,6 +75,11 @@ def script_of(text: str) -> str:
     return max(counts, key=lambda k: (counts[k], k))
 
 
+def _print(text: str) -> str:
+    """A fingerprint that texts share if they differ in case and blanks only."""
+    return xxhash.xxh3_128_hexdigest(" ".join(text.lower().split()).encode("utf-8", "surrogatepass"))
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -77,9 +87,9 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if text and len(text) >= LEAST_CHARS and not text.isspace():
                 script = script_of(text)
                 code = (lang or "").strip().lower()[:2]
-                rows.append((key, len(text), script, f"latin-{code}" if script == "latin" and code.isalpha() else script, block_ratio(text), sentence_share(text)))
-        kinds = (batch.schema.types[0], pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64())
-        names = ["id", "n", "script", "language", "ratio", "sentences"]
+                rows.append((key, len(text), script, f"latin-{code}" if script == "latin" and code.isalpha() else script, block_ratio(text), sentence_share(text), _print(text)))
+        kinds = (batch.schema.types[0], pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string())
+        names = ["id", "n", "script", "language", "ratio", "sentences", "print"]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
 
@@ -91,15 +101,19 @@ def spam_scores(pages: DataFrame, id_col: str, text_col: str, lang_col: str | No
     """
     source = pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"))
     kind = source.schema["id"].dataType.simpleString()
-    measured = cut(source.mapInArrow(_measure, f"id {kind}, n int, script string, language string, ratio double, sentences double"))
+    measured = cut(source.mapInArrow(_measure, f"id {kind}, n int, script string, language string, ratio double, sentences double, print string"))
     size = F.least(F.floor(F.log2("n")), F.lit(12)).cast("int")
     sized = measured.withColumn("size", size)
-    stats = sized.rollup("size", "script", "language").agg(F.percentile_approx("ratio", 0.5, 200).alias("usual"), F.count("*").alias("pages"), F.grouping_id().alias("g")).filter(f"pages >= {LEAST_PAGES}")
-    fine = stats.filter("g = 0").select("size", "script", "language", F.col("usual").alias("u0"))
-    coarse = stats.filter("g = 1").select("size", "script", F.col("usual").alias("u1"))
+    prose = sized.filter((F.col("sentences") >= PROSE) & (F.col("ratio") >= EXTREME_RATIO * LEAST_USUAL))
+
+    def usual_of(name: str, *cell: str) -> DataFrame:
+        once = prose.groupBy(*cell, "print").agg(F.min("ratio").alias("ratio"))
+        return once.groupBy(*cell).agg(F.percentile_approx("ratio", 0.5, 200).alias(name), F.count("*").alias("pages")).filter(f"pages >= {LEAST_PAGES}").drop("pages")
+
+    fine, coarse = usual_of("u0", "size", "script", "language"), usual_of("u1", "size", "script")
     # at most 13 sizes x 3 scripts x the two-letter codes
     joined = sized.join(F.broadcast(fine), ["size", "script", "language"], "left").join(F.broadcast(coarse), ["size", "script"], "left")
-    usual = F.coalesce("u0", "u1", F.lit(USUAL))
+    usual = F.greatest(F.coalesce("u0", "u1", F.lit(USUAL)), F.lit(LEAST_USUAL))
     relative = F.col("ratio") / usual
     spam = (relative < EXTREME_RATIO) | ((relative < LIST_RATIO) & (F.col("sentences") < LOW_SENTENCES))
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "ratio", usual.alias("usual"), "sentences", spam.alias("spam"))

@@ -184,3 +184,15 @@ def test_spam_pages(spark):
     got = {r["doc_id"] for r in spam.spam_scores(df, "doc_id", "text", "lang").filter("spam").collect()}
     assert got == {r[0] for r in bad}
     assert spam.spam_scores(df.limit(0), "doc_id", "text", "lang").count() == 0
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_spam_copies_do_not_move_what_is_usual(spark, same):
+    rng = random.Random(13)
+    good = [(k, _prose(rng, rng.randint(14, 18)), "en") for k in range(60)]
+    stuffed = [" ".join("Our knee brace beats other knee brace because knee brace means eye drops." for _ in range(18))] * 60
+    hot = [(1000 + k, text if same else f"{text} Order {rng.randint(1000, 9999)}-{k} now please.", "en") for k, text in enumerate(stuffed)]
+    other = [(2000, " ".join("We sell foot cream and the best foot cream is foot cream for feet." for _ in range(20)), "en"), (2001, "\n".join(f"Keto powder A{rng.randint(100, 999)} ${rng.randint(10, 99)}.10 sale" for _ in range(40)), "en")]
+    df = spark.createDataFrame(good + hot + other, "doc_id long, text string, lang string")
+    got = {r["doc_id"] for r in spam.spam_scores(df, "doc_id", "text", "lang").filter("spam").collect()}
+    assert got == {r[0] for r in hot + other}
