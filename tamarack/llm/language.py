@@ -45,6 +45,8 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 #: How far a line's own language must lead the record's main one to count, as a difference of the model's scores before calibration:
 #: by all words, and by its lower-case words, which names are not among; not so where a language writes all nouns with capitals.
 LINE_MARGIN, PLAIN_MARGIN, CAPITAL_NOUNS = 1.4, 0.35, ("de",)
+#: With this many n-grams in lower-case words, about eight words, the lead by those words, or half the margin where nouns have capitals, is enough, whatever the names beside them.
+LONG_LINE = 100
 #: Lines with fewer letters keep the record's main language.
 LINE_LETTERS = 12
 
@@ -53,6 +55,13 @@ _LINES = re.compile(r"\r\n|\n|\r")
 _ADDRESS = re.compile(r"\S*@\S*|https?:\S*")
 
 
+def leads(lead: np.ndarray, plain_lead: np.ndarray, plain_grams: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """Which lines count as their own best language: all words lead by far, or enough lower-case words lead."""
+    nouns = np.isin(best, [LANGUAGES.index(c) for c in CAPITAL_NOUNS])
+    long = (plain_grams >= LONG_LINE) & ((plain_lead >= PLAIN_MARGIN) | nouns & (lead >= LINE_MARGIN / 2))
+    return long | (lead >= LINE_MARGIN) & ((plain_lead >= PLAIN_MARGIN) | nouns)
+
+
 def label_code(label: Column) -> Column:
     """The language a label names, whatever its form; null where it names none."""
     bare = F.regexp_extract(F.lower(F.trim(label)), r"^([a-z]+)(?:[-_][a-z0-9]+)*$", 1)
@@ -171,7 +180,6 @@ def _label_lines(model: Model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
-        nouns = [LANGUAGES.index(c) for c in CAPITAL_NOUNS]
         shares = np.zeros((1024, len(LANGUAGES) + 1), dtype=np.float32)
         schema = pa.schema([("id", pa.string()), ("code", pa.string()), ("main", pa.string()), ("main_conf", pa.float64()), ("langs", pa.list_(pa.string())), ("confs", pa.list_(pa.float64()))])
         for batch in batches:
@@ -218,7 +226,7 @@ def _label_lines(model: Model):
                     main = int(mass.argmax())
                     rows = np.arange(a, b)
                     lead, plain_lead = (model.temperature * (x[rows, best[a:b]] - x[a:b, main]) for x in (score, plain_score))
-                    sure = (lead >= LINE_MARGIN) & ((plain_lead >= PLAIN_MARGIN) | np.isin(best[a:b], nouns))
+                    sure = leads(lead, plain_lead, lower[a:b, -1], best[a:b])
                     lines = np.where(sure & (n[a:b] >= LINE_LETTERS), best[a:b], main)
                     weight = n[a:b] / n[a:b].sum()
                     row = (keys[own[a]], codes[own[a]], LANGUAGES[main], float((prob[a:b, main] * weight).sum()), [LANGUAGES[k] for k in lines], [float(prob[a + i, k]) for i, k in enumerate(lines)])

@@ -196,3 +196,13 @@ def test_spam_copies_do_not_move_what_is_usual(spark, same):
     df = spark.createDataFrame(good + hot + other, "doc_id long, text string, lang string")
     got = {r["doc_id"] for r in spam.spam_scores(df, "doc_id", "text", "lang").filter("spam").collect()}
     assert got == {r[0] for r in hot + other}
+
+
+def test_long_foreign_lines_need_little_lead():
+    import numpy as np
+
+    en, de = language.LANGUAGES.index("en"), language.LANGUAGES.index("de")
+    # lead, lead by lower-case words, their n-grams, best; figures of lines of sf0.1 and sf0.01
+    lines = [(1.16, 1.04, 228, en, True), (1.22, 0.34, 128, de, True), (0.82, -0.31, 300, de, True), (1.5, 0.4, 30, en, True), (0.82, -0.42, 128, en, False), (0.26, 0.27, 156, en, False), (1.2, 1.2, 30, en, False)]
+    lead, plain, grams, best = (np.array(c) for c in list(zip(*lines, strict=True))[:4])
+    assert language.leads(lead, plain, grams, best).tolist() == [x[4] for x in lines]
