@@ -47,14 +47,31 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 LINE_MARGIN, PLAIN_MARGIN, CAPITAL_NOUNS = 1.4, 0.35, ("de",)
 #: With this many n-grams in lower-case words, about eight words, the lead by those words, or half the margin where nouns have capitals, is enough, whatever the names beside them.
 LONG_LINE = 100
-#: Lines with fewer letters keep the record's main language.
+#: Lines with fewer letters keep the record's main language, unless they are in a script that it isn't written in.
 LINE_LETTERS = 12
+#: Lower-case words that a short Latin line needs to count in a record of another script; names and acronyms have none.
+LINE_WORDS = 2
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _LINES = re.compile(r"\r\n|\n|\r")
+# Scripts that only one of the languages is written in.
+_SCRIPTS = (("zh", re.compile(r"[㐀-鿿]")), ("uk", re.compile(r"[Ѐ-ӿ]")))
+_LATIN = [k for k, c in enumerate(LANGUAGES) if c not in ("uk", "zh")]
 _ADDRESS = re.compile(r"\S*@\S*|https?:\S*")
 
 
+def short_line(line: str, main: int, score: np.ndarray) -> int:
+    """The language of a line too short for n-grams: main, unless most letters are in a script that main isn't written in."""
+    words, plain = line_words(line)
+    letters = "".join(words)
+    for code, script in _SCRIPTS:
+        if 2 * len(script.findall(letters)) > len(letters):
+            return LANGUAGES.index(code)
+    if main not in _LATIN and sum(plain) >= LINE_WORDS and 2 * sum(c < "ɐ" for c in letters) > len(letters):
+        return max(_LATIN, key=lambda k: score[k])
+    return main
+
+
 def leads(lead: np.ndarray, plain_lead: np.ndarray, plain_grams: np.ndarray, best: np.ndarray) -> np.ndarray:
     """Which lines count as their own best language: all words lead by far, or enough lower-case words lead."""
     nouns = np.isin(best, [LANGUAGES.index(c) for c in CAPITAL_NOUNS])
@@ -185,7 +202,7 @@ def _label_lines(model: Model):
         for batch in batches:
             if len(known) > 500_000:
                 known.clear()
-            ids, plain, starts, letters, owner = [], [], [], [], []
+            ids, plain, starts, letters, owner, short = [], [], [], [], [], {}
             docs = batch.column(1).to_pylist()
             for d, text in enumerate(docs):
                 for line in _LINES.split(text) if text else ():
@@ -195,6 +212,8 @@ def _label_lines(model: Model):
                     starts.append(len(ids))
                     plain += as_is
                     letters.append(sum(map(len, words)))
+                    if 0 < letters[-1] < LINE_LETTERS:
+                        short[len(owner)] = line
                     owner.append(d)
                     for w in words:
                         k = known.get(w)
@@ -228,6 +247,8 @@ def _label_lines(model: Model):
                     lead, plain_lead = (model.temperature * (x[rows, best[a:b]] - x[a:b, main]) for x in (score, plain_score))
                     sure = leads(lead, plain_lead, lower[a:b, -1], best[a:b])
                     lines = np.where(sure & (n[a:b] >= LINE_LETTERS), best[a:b], main)
+                    for k in rows[(n[a:b] > 0) & (n[a:b] < LINE_LETTERS)]:
+                        lines[k - a] = short_line(short[k], main, score[k])
                     weight = n[a:b] / n[a:b].sum()
                     row = (keys[own[a]], codes[own[a]], LANGUAGES[main], float((prob[a:b, main] * weight).sum()), [LANGUAGES[k] for k in lines], [float(prob[a + i, k]) for i, k in enumerate(lines)])
                     for c, v in zip(out, row, strict=True):

@@ -206,3 +206,17 @@ def test_long_foreign_lines_need_little_lead():
     lines = [(1.16, 1.04, 228, en, True), (1.22, 0.34, 128, de, True), (0.82, -0.31, 300, de, True), (1.5, 0.4, 30, en, True), (0.82, -0.42, 128, en, False), (0.26, 0.27, 156, en, False), (1.2, 1.2, 30, en, False)]
     lead, plain, grams, best = (np.array(c) for c in list(zip(*lines, strict=True))[:4])
     assert language.leads(lead, plain, grams, best).tolist() == [x[4] for x in lines]
+
+
+def test_short_lines_of_another_script(spark):
+    texts = {
+        "zh": "\n".join([*SENTENCES["en"], "我们需要医生。"]),
+        "uk": "\n".join([*SENTENCES["fr"], "Дякуємо!"]),
+        "latin": "\n".join([*SENTENCES["zh"], "Thank you all", "WHO"]),
+        "same": "\n".join([*SENTENCES["uk"], "Дякуємо!", "12"]),
+    }
+    own = {"zh": "en", "uk": "fr", "latin": "zh", "same": "uk"}
+    out = language.languages(_labelled(spark, [(k, t, own[k], "x") for k, t in texts.items()]), "doc_id", "card_text", "language")
+    got = {r["id"]: r["langs"] for r in out.filter(F.col("id").isin(*texts)).collect()}
+    assert got["zh"][3] == "zh" and got["uk"][3] == "uk" and set(got["same"]) == {"uk"}
+    assert got["latin"][2] not in ("zh", "uk") and got["latin"][3] == "zh"
