@@ -2,7 +2,7 @@
 
 A multinomial logistic regression on hashed character n-grams within words, weighted by TF-IDF, is
 trained here by follow-the-regularised-leader with elastic-net penalties on a bounded sample of
-labelled rows; rows whose label the first model contradicts are left out of the second. A
+labelled rows; rows whose label a model of the other half of them contradicts are left out of the final one. A
 temperature fitted on held-out rows turns its scores into confidences. The weights, of fixed size,
 travel to the workers, which keep the score of every word they have met, so a line costs one look-up
 per word.
@@ -38,6 +38,8 @@ LABEL_FORMS = {
 }
 #: Labelled rows used for training, per label.
 ROWS_PER_LABEL = 400
+#: Of a labelled text, the longest line of its first so many characters is trained on.
+TRAINING_CHARS = 4000
 FEATURES = 1 << 14
 LONGEST_GRAM = 4
 EPOCHS, BATCH = 6, 32
@@ -171,23 +173,27 @@ def train(rows: list[tuple[str, str]]) -> Model:
     x *= idf
     rows_ = np.arange(len(y))
     held = (rows_ % 5 == 4) & (len(y) >= 10)
-    w = _leader(x, y, rows_[~held], len(LANGUAGES))
-    p = _softmax(x @ w[:-1] + w[-1])
-    clean = p[rows_, y] > 0.5 * p.max(axis=1)
+    # each half is judged by a model of the other, which has not learnt its wrong labels by heart
+    halves = [rows_[rows_ % 2 == k] for k in (0, 1)] if len(y) >= 10 else [rows_, rows_]
+    clean = np.zeros(len(y), dtype=bool)
+    for own, other in (halves, halves[::-1]):
+        w = _leader(x, y, other, len(LANGUAGES))
+        p = _softmax(x[own] @ w[:-1] + w[-1])
+        clean[own] = p[np.arange(len(own)), y[own]] > 0.5 * p.max(axis=1)
     fit, test = rows_[clean & ~held], rows_[clean & held]
     w = _leader(x, y, fit, len(LANGUAGES)) if len(fit) else w
     return Model(w, idf, _temperature(x[test] @ w[:-1] + w[-1], y[test]) if len(test) else 1.0)
 
 
 def training_rows(records: DataFrame, text: str, code: str, per_label: int = ROWS_PER_LABEL) -> list[tuple[str, str]]:
-    """At most ``per_label`` rows of each label, chosen by hash; never more than languages x per_label rows reach the driver."""
+    """At most ``per_label`` distinct texts of each label, chosen by hash and cut to TRAINING_CHARS; never more than languages x per_label rows reach the driver."""
     labelled = records.filter(F.col(code).isin(*LANGUAGES) & (F.length(F.col(text)) >= 40))
-    counts = labelled.groupBy(code).count().collect()
+    u = hash_unit(F.col(text))
+    counts = labelled.select(code, u.alias("u")).distinct().groupBy(code).count().collect()
     share = F.lit(0.0)
     for r in counts:
         share = F.when(F.col(code) == r[code], F.lit(min(1.0, 1.5 * per_label / r["count"]))).otherwise(share)
-    u = hash_unit(F.col(text))
-    near = labelled.filter(u < share).select(F.substring(F.col(text), 1, 4000).alias("t"), F.col(code).alias("c"), u.alias("u"))
+    near = labelled.filter(u < share).select(F.substring(F.col(text), 1, TRAINING_CHARS).alias("t"), F.col(code).alias("c"), u.alias("u")).distinct()
     kept = near.withColumn("rn", F.row_number().over(W.partitionBy("c").orderBy("u", "t"))).filter(F.col("rn") <= per_label)
     return [(r["t"], r["c"]) for r in kept.orderBy("u", "t", "c").select("t", "c").collect()]
 

@@ -220,3 +220,13 @@ def test_short_lines_of_another_script(spark):
     got = {r["id"]: r["langs"] for r in out.filter(F.col("id").isin(*texts)).collect()}
     assert got["zh"][3] == "zh" and got["uk"][3] == "uk" and set(got["same"]) == {"uk"}
     assert got["latin"][2] not in ("zh", "uk") and got["latin"][3] == "zh"
+
+
+def test_training_rows_count_copies_once(spark):
+    rng = random.Random(3)
+    texts = [_prose(rng, 2) for _ in range(200)]
+    for hot in ([texts[0]] * 100, [texts[k] for k in range(10) for _ in range(10)]):
+        df = spark.createDataFrame([(t, "en") for t in texts + hot], "t string, c string")
+        rows = language.training_rows(df, "t", "c", per_label=50)
+        assert len(rows) == len(set(rows)) == 50
+        assert rows == language.training_rows(df.distinct(), "t", "c", per_label=50)
