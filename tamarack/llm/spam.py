@@ -1,8 +1,10 @@
 """Keyword-stuffed and link-list pages (problem 9).
 
 Every page is compressed in blocks; its mean ratio is divided by what pages of its language and
-length usually reach, a statistic of the distinct pages of sentences, which copies cannot move. Extreme redundancy flags a page by itself, ordinary
-redundancy only where the share of its text that stands in punctuated sentences is low.
+length usually reach, a statistic of the distinct pages of sentences, which copies cannot move. Extreme
+redundancy flags a page by itself. Where the share of its text that stands in punctuated sentences is
+low, a page is flagged if links are most of it, or if what stays without links, codes and prices is
+more redundant than prose.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from tamarack.sources.tables import text_table
 BLOCK_BYTES = 1000
 #: Below this share of the usual ratio a page is redundant beyond any prose, sentences or not.
 EXTREME_RATIO = 0.52
-#: Up to this multiple of the usual ratio a page without sentences is a list.
-LIST_RATIO = 1.25
+#: Below this share of the usual ratio, links, codes and prices aside, a page without sentences is a list of keywords.
+LIST_RATIO = 0.9
+#: From this share of its text in links and tags on, a page without sentences is a list of links.
+LINK_SHARE = 0.5
 #: Pages with less of their text in sentences have low sentence punctuation.
 LOW_SENTENCES = 0.2
 #: Shorter pages have no measurable ratio and are never flagged.
@@ -42,6 +46,9 @@ _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ]")
 _RUN = re.compile(r"[0-9A-Za-z]{60,}")
 _BLANKS = re.compile(r"\s+")
+_LINK = re.compile(r"(?:https?://|www\.)\S+|#\w+")
+# Codes of letters and digits, and prices; plain numbers are what tables consist of.
+_CODE = re.compile(r"[$€£]\s?\d[\d.,]*|\b(?=\w*\d)(?=\w*[^\W\d_])\w+")
 
 
 def block_ratio(text: str) -> float:
@@ -70,6 +77,18 @@ def sentence_share(text: str) -> float:
     return good / total if total else 0.0
 
 
+def link_share(text: str) -> float:
+    """The share of the text, without blanks, in links and tags."""
+    return sum(m.end() - m.start() for m in _LINK.finditer(text)) / max(1, sum(map(len, text.split())))
+
+
+def list_ratio(text: str) -> float:
+    """The ratio of a text without sentences, links, codes and prices aside; 0 where links are most of it."""
+    if link_share(text) >= LINK_SHARE:
+        return 0.0
+    return block_ratio(_CODE.sub("0", _LINK.sub("0", text)))
+
+
 def script_of(text: str) -> str:
     counts = {"han": 2 * len(_HAN.findall(text)), "cyrillic": len(_CYRILLIC.findall(text)), "latin": len(_LATIN.findall(text))}
     return max(counts, key=lambda k: (counts[k], k))
@@ -87,9 +106,11 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if text and len(text) >= LEAST_CHARS and not text.isspace():
                 script = script_of(text)
                 code = (lang or "").strip().lower()[:2]
-                rows.append((key, len(text), script, f"latin-{code}" if script == "latin" and code.isalpha() else script, block_ratio(text), sentence_share(text), _print(text)))
-        kinds = (batch.schema.types[0], pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string())
-        names = ["id", "n", "script", "language", "ratio", "sentences", "print"]
+                sentences = sentence_share(text)
+                listed = list_ratio(text) if sentences < LOW_SENTENCES else None
+                rows.append((key, len(text), script, f"latin-{code}" if script == "latin" and code.isalpha() else script, block_ratio(text), sentences, listed, _print(text)))
+        kinds = (batch.schema.types[0], pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.string())
+        names = ["id", "n", "script", "language", "ratio", "sentences", "listed", "print"]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
 
@@ -101,7 +122,7 @@ def spam_scores(pages: DataFrame, id_col: str, text_col: str, lang_col: str | No
     """
     source = pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"))
     kind = source.schema["id"].dataType.simpleString()
-    measured = cut(source.mapInArrow(_measure, f"id {kind}, n int, script string, language string, ratio double, sentences double, print string"))
+    measured = cut(source.mapInArrow(_measure, f"id {kind}, n int, script string, language string, ratio double, sentences double, listed double, print string"))
     size = F.least(F.floor(F.log2("n")), F.lit(12)).cast("int")
     sized = measured.withColumn("size", size)
     prose = sized.filter((F.col("sentences") >= PROSE) & (F.col("ratio") >= EXTREME_RATIO * LEAST_USUAL))
@@ -115,7 +136,7 @@ def spam_scores(pages: DataFrame, id_col: str, text_col: str, lang_col: str | No
     joined = sized.join(F.broadcast(fine), ["size", "script", "language"], "left").join(F.broadcast(coarse), ["size", "script"], "left")
     usual = F.greatest(F.coalesce("u0", "u1", F.lit(USUAL)), F.lit(LEAST_USUAL))
     relative = F.col("ratio") / usual
-    spam = (relative < EXTREME_RATIO) | ((relative < LIST_RATIO) & (F.col("sentences") < LOW_SENTENCES))
+    spam = (relative < EXTREME_RATIO) | ((F.col("sentences") < LOW_SENTENCES) & (F.col("listed") / usual < LIST_RATIO))
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "ratio", usual.alias("usual"), "sentences", spam.alias("spam"))
 
 

@@ -230,3 +230,20 @@ def test_training_rows_count_copies_once(spark):
         rows = language.training_rows(df, "t", "c", per_label=50)
         assert len(rows) == len(set(rows)) == 50
         assert rows == language.training_rows(df.distinct(), "t", "c", per_label=50)
+
+
+def test_pages_without_sentences_are_spam_only_if_redundant(spark):
+    rng = random.Random(21)
+    good = [(k, _prose(rng, rng.randint(6, 30)), "en") for k in range(60)]
+    syllables = "bar den kel mor tun sil vax rod pim gur lan hef jot wic zub cor nal tef".split()
+    word = lambda: "".join(rng.choice(syllables) for _ in range(3)).capitalize()
+    plain = [
+        (100, "\n".join(f"{word()} {word()}, {rng.choice('ABCDEFGH')}. {word()}" for _ in range(40)), "en"),
+        (101, "\n".join(f"{word()}  {rng.randint(100, 99999)}  {rng.randint(10, 999)}  {rng.random() * 100:.1f}" for _ in range(40)), "en"),
+    ]
+    lists = [
+        (200, "\n".join(f"Keto Powder {rng.choice('ABCD')}{rng.randint(100, 999)} ${rng.randint(10, 300)}.{rng.randint(10, 99)} in stock" for _ in range(15)), "en"),
+        (201, " ".join(f"https://{word()}.example/{word()}/{word()}" for _ in range(8)), "en"),
+    ]
+    df = spark.createDataFrame(good + plain + lists, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in spam.spam_scores(df, "doc_id", "text", "lang").filter("spam").collect()} == {200, 201}
