@@ -30,8 +30,10 @@ LIST_RATIO = 0.9
 LINK_SHARE = 0.5
 #: Pages with less of their text in sentences have low sentence punctuation.
 LOW_SENTENCES = 0.2
-#: Shorter pages have no measurable ratio and are never flagged.
+#: Shorter pages have no measurable ratio; without sentences, they are flagged for links and repeated words.
 LEAST_CHARS = 160
+#: A short page is a list with so many links or tags, or with so many words of which at most this share are distinct.
+SHORT_LINKS, SHORT_WORDS, SHORT_DISTINCT = 2, 6, 0.6
 #: A language and length with fewer pages takes the ratio of its script and length, then 0.57.
 LEAST_PAGES = 20
 USUAL = 0.57
@@ -45,6 +47,7 @@ _HAN = re.compile(r"[㐀-鿿]")
 _CYRILLIC = re.compile(r"[Ѐ-ӿ]")
 _LATIN = re.compile(r"[A-Za-zÀ-ɏ]")
 _RUN = re.compile(r"[0-9A-Za-z]{60,}")
+_WORD = re.compile(r"[^\W\d_]+")
 _BLANKS = re.compile(r"\s+")
 _LINK = re.compile(r"(?:https?://|www\.)\S+|#\w+")
 # Codes of letters and digits, and prices; plain numbers are what tables consist of.
@@ -89,6 +92,15 @@ def list_ratio(text: str) -> float:
     return block_ratio(_CODE.sub("0", _LINK.sub("0", text)))
 
 
+def short_list(text: str) -> bool:
+    """Whether a text too short for a ratio is links, tags or repeated words instead of sentences."""
+    if sentence_share(text) >= LOW_SENTENCES:
+        return False
+    words = _WORD.findall(text.lower())
+    linked = len(_LINK.findall(text)) >= SHORT_LINKS and link_share(text) >= LINK_SHARE
+    return linked or (len(words) >= SHORT_WORDS and len(set(words)) <= SHORT_DISTINCT * len(words))
+
+
 def script_of(text: str) -> str:
     counts = {"han": 2 * len(_HAN.findall(text)), "cyrillic": len(_CYRILLIC.findall(text)), "latin": len(_LATIN.findall(text))}
     return max(counts, key=lambda k: (counts[k], k))
@@ -103,26 +115,30 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, text, lang in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            if text and len(text) >= LEAST_CHARS and not text.isspace():
+            if not text or text.isspace():
+                continue
+            if len(text) < LEAST_CHARS:
+                rows.append((key, len(text), None, None, None, sentence_share(text), None, None, short_list(text)))
+            else:
                 script = script_of(text)
                 code = (lang or "").strip().lower()[:2]
                 sentences = sentence_share(text)
                 listed = list_ratio(text) if sentences < LOW_SENTENCES else None
-                rows.append((key, len(text), script, f"latin-{code}" if script == "latin" and code.isalpha() else script, block_ratio(text), sentences, listed, _print(text)))
-        kinds = (batch.schema.types[0], pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.string())
-        names = ["id", "n", "script", "language", "ratio", "sentences", "listed", "print"]
+                rows.append((key, len(text), script, f"latin-{code}" if script == "latin" and code.isalpha() else script, block_ratio(text), sentences, listed, _print(text), None))
+        kinds = (batch.schema.types[0], pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.string(), pa.bool_())
+        names = ["id", "n", "script", "language", "ratio", "sentences", "listed", "print", "short"]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
 
 def spam_scores(pages: DataFrame, id_col: str, text_col: str, lang_col: str | None = None) -> DataFrame:
-    """Rows (id, n_chars, ratio, usual, sentences, spam) of every page of at least LEAST_CHARS characters.
+    """Rows (id, n_chars, ratio, usual, sentences, spam) of every page; ratio and usual are null under LEAST_CHARS characters.
 
-    Null, empty, blank and shorter texts give no row; repeated rows each give one; other columns are
+    Null, empty and blank texts give no row; repeated rows each give one; other columns are
     ignored; an empty table gives an empty result. Very long texts are read whole.
     """
     source = pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"))
     kind = source.schema["id"].dataType.simpleString()
-    measured = cut(source.mapInArrow(_measure, f"id {kind}, n int, script string, language string, ratio double, sentences double, listed double, print string"))
+    measured = cut(source.mapInArrow(_measure, f"id {kind}, n int, script string, language string, ratio double, sentences double, listed double, print string, short boolean"))
     size = F.least(F.floor(F.log2("n")), F.lit(12)).cast("int")
     sized = measured.withColumn("size", size)
     prose = sized.filter((F.col("sentences") >= PROSE) & (F.col("ratio") >= EXTREME_RATIO * LEAST_USUAL))
@@ -134,9 +150,10 @@ def spam_scores(pages: DataFrame, id_col: str, text_col: str, lang_col: str | No
     fine, coarse = usual_of("u0", "size", "script", "language"), usual_of("u1", "size", "script")
     # at most 13 sizes x 3 scripts x the two-letter codes
     joined = sized.join(F.broadcast(fine), ["size", "script", "language"], "left").join(F.broadcast(coarse), ["size", "script"], "left")
-    usual = F.greatest(F.coalesce("u0", "u1", F.lit(USUAL)), F.lit(LEAST_USUAL))
+    usual = F.when(F.col("short").isNull(), F.greatest(F.coalesce("u0", "u1", F.lit(USUAL)), F.lit(LEAST_USUAL)))
     relative = F.col("ratio") / usual
-    spam = (relative < EXTREME_RATIO) | ((F.col("sentences") < LOW_SENTENCES) & (F.col("listed") / usual < LIST_RATIO))
+    listed = (F.col("sentences") < LOW_SENTENCES) & (F.col("listed") / usual < LIST_RATIO)
+    spam = F.coalesce("short", (relative < EXTREME_RATIO) | listed)
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "ratio", usual.alias("usual"), "sentences", spam.alias("spam"))
 
 

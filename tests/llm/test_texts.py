@@ -247,3 +247,17 @@ def test_pages_without_sentences_are_spam_only_if_redundant(spark):
     ]
     df = spark.createDataFrame(good + plain + lists, "doc_id long, text string, lang string")
     assert {r["doc_id"] for r in spam.spam_scores(df, "doc_id", "text", "lang").filter("spam").collect()} == {200, 201}
+
+
+def test_short_pages_of_tags_or_links(spark):
+    rows = [
+        (1, "#kneebrace #eyedrops #ketopowder #footcream", True),
+        (2, "https://shop1.example/knee-brace https://shop2.example/eye-drops", True),
+        (3, "knee brace, eye drops, knee brace, eye drops, knee brace", True),
+        (4, "Notes on care", False),
+        (5, "The committee should fund rural clinics without delay.", False),
+        (6, "See https://x.example/report", False),
+        (7, "Brief of the Lindmoor Nurses Society to the committee", False),
+    ]
+    scores = spam.spam_scores(spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string"), "doc_id", "text")
+    assert {r["doc_id"]: r["spam"] for r in scores.collect()} == {k: x for k, _, x in rows}
