@@ -55,8 +55,22 @@ _WIDE_RE = re.compile("|".join(map(re.escape, _WIDE)))
 _DIGIT_WORDS = dict(zip("zero one two three four five six seven eight nine zéro un deux trois quatre cinq six sept huit neuf oh".split(), "01234567890123456789" + "0", strict=True))
 _DIGIT_WORD = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"\b(?:{_DIGIT_WORD})(?:[\s,-]+(?:{_DIGIT_WORD}|\d)){{6,}}\b", re.I)
-_AT = re.compile(r"\s*[\[({<]\s*(?:at|@|arobase|arroba|chez)\s*[\])}>]\s*|(?<=\w) @ (?=\w)|(?<=\w)\s+(?:at|arobase|arroba)\s+(?=[\w-]+(?:\s+(?:dot|point|punto|ponto)\s+[\w-]+)+)", re.I)
-_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|point|punto|ponto|\.)\s*[\])}>]\s*|(?<=\w)\s+(?:dot|point|punto|ponto)\s+(?=[\w-]+)", re.I)
+# Words that show that "at ... point" is prose, before and after "point", and ends of addresses.
+_BEFORE_POINT = "this|that|some|one|any|what|which|the|a|an|each|every|no|such|another|ce|un|le|quel|este|ese|un|algún|o|um|esse|algum|boiling|melting|freezing|starting|turning|breaking|entry|mid|end"
+_AFTER_POINT = "in|of|is|was|are|were|the|to|and|or|we|they|you|he|she|it|i|for|with|on|by|as|at|a|an|when|where|that|this|during|from|if|our|their|people|many|most|de|du|des|d|le|la|les|l|que|qu|où|et|ou|par|qui|à|au|final|sur|dans|pour|ne|en|el|los|y|se|do|da|e|na|no"
+_ENDS = "ca|com|org|net|info|edu|gov|fr|es|pt|br|mx|uk|ua|cn|example|test"
+_POINT = r"(?-i:point|punto|ponto)"
+_BRACKETED_AT = r"[\[({<]\s*(?:at|@|arobase|arroba|chez)\s*[\])}>]"
+_HOST_POINT = rf"(?!(?:{_BEFORE_POINT})\b)[\w-]+(?:\s+(?:dot|{_POINT})\s+(?!(?:{_AFTER_POINT})\b)[\w-]+)+"
+_AT = re.compile(rf"\s*{_BRACKETED_AT}\s*|(?<=\w) @ (?=\w)|(?<=\w)\s+at\s+(?=[\w-]+(?:\s+dot\s+[\w-]+)+|{_HOST_POINT})|(?<=\w)\s+(?:arobase|arroba)\s+(?=[\w-]+(?:\s+(?:dot|point|punto|ponto)\s+[\w-]+)+)", re.I)
+_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|point|punto|ponto|\.)\s*[\])}>]\s*|(?<=\w)\s+dot\s+(?=[\w-]+)", re.I)
+# "point" is a word of prose too: it is a dot only before a disguised @, or in the host after an @.
+_POINT_LOCAL = re.compile(rf"(?<=\w)\s+(?:point|punto|ponto)\s+(?=[\w-]+(?:\s+(?:point|punto|ponto)\s+[\w-]+)*(?:\s*{_BRACKETED_AT}| @ |\s+(?:arobase|arroba)\s|\s+at\s+{_HOST_POINT}))", re.I)
+_POINT_HOST = re.compile(rf"@[\w-]+(?:(?:\s+(?:dot|point|punto|ponto)\s+(?!(?:{_AFTER_POINT})\b)[\w-]+)+|(?:\.[\w-]+)+\s+(?:point|punto|ponto)\s+(?:{_ENDS})\b)", re.I)
+_POINT_WORD = re.compile(r"\s+(?:dot|point|punto|ponto)\s+", re.I)
+# The guard before them: outside brackets, every disguise but " @ " needs a word for the dot.
+_IN_BRACKETS = re.compile(rf"{_BRACKETED_AT}|[\[({{<]\s*(?:dot|point|punto|ponto|\.)\s*[\])}}>]", re.I)
+_POINT_WORDS = ("point", "punto", "ponto", "poınt", "poi̇nt")
 
 _EMAIL = re.compile(r"(?<![\w.+-])[\w+%'-]+(?:\.[\w+%'-]+)*@[\w-]+(?:\.[\w-]+)+")
 _PHONE = re.compile(r"(?<![\w/.+-])(?:\+?1[\s.-]{0,2})?(?:\([2-9]\d\d\)|[2-9]\d\d)[\s./-]{0,2}[2-9]\d\d[\s./-]?\d{4}(?![\w]|-\d)")
@@ -131,10 +145,15 @@ def normalised(source: str) -> Tape:
         if _LOOKALIKE.search(tape.text):
             tape.rewrite(_MIXED, lambda m: "".join(_LOOKS.get(c, c) for c in m[0]))
     low = tape.text.lower()
-    if any(x in low for x in ("dot", "(at", "[at", "{at", "<at", "( at", "[ at", " @ ", "arob", "arrob", "[@", "(@")):
+    points = any(x in low for x in _POINT_WORDS)
+    if points or "dot" in low or " @ " in low or _IN_BRACKETS.search(tape.text):
+        if points:
+            tape.rewrite(_POINT_LOCAL, lambda _: ".")
         tape.rewrite(_AT, lambda _: "@")
         if "@" in tape.text:
             tape.rewrite(_DOT, lambda _: ".")
+            if points:
+                tape.rewrite(_POINT_HOST, lambda m: _POINT_WORD.sub(".", m[0]))
     if sum(map(_DIGIT_WORDS.__contains__, low.replace("-", " ").replace(",", " ").split())) > 6:
         tape.rewrite(_SPELLED, lambda m: "".join(_DIGIT_WORDS.get(w, w) for w in re.split(r"[\s,-]+", m[0].lower())))
     return tape

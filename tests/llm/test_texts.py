@@ -261,3 +261,16 @@ def test_short_pages_of_tags_or_links(spark):
     ]
     scores = spam.spam_scores(spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string"), "doc_id", "text")
     assert {r["doc_id"]: r["spam"] for r in scores.collect()} == {k: x for k, _, x in rows}
+
+
+@pytest.mark.parametrize("address", ["jo (chez) host.example", "jo {@ } host.example", "jo <@> host.example", "jo ( @ ) host.example", "jo (  at ) host.example", "jo at host point ca", "jo arobase host punto es", "jo arroba host ponto pt", "jo point roy (chez) host point ca", "jo@host (.) example"])
+def test_disguised_addresses_reach_the_rewrite(address):
+    source = f"Write to: {address}, please."
+    assert [(k, source[a:b]) for k, a, b in pii.find_items(source)] == [("email", address)]
+
+
+@pytest.mark.parametrize("prose", ["Look at this point in time.", "Waits fell at Rocky Point in 2019.", "It was right at one point during talks.", "Du point de vue du comité, à ce point précis.", "We met at some point we forgot."])
+def test_points_of_prose_are_no_addresses(prose):
+    assert pii.find_items(prose) == []
+    found = pii.find_items(source := f"a@b.example point de vue. {prose}")
+    assert [(k, source[a:b]) for k, a, b in found] == [("email", "a@b.example")]
