@@ -4,8 +4,8 @@ Every name is rewritten into canonical forms: accents, titles, legal forms, arti
 brackets go, abbreviations and nicknames are written out, rare words are corrected to common ones a
 slip of the keys away, and parts are put in one order. A full name's forms are its canonical key and
 the shorter rewritings it could be typed as (initial for the given name, no type word, acronym).
-Names meet by equi-joins on forms; a shorter form counts only where it is rare enough to belong to
-one entity, which is its score.
+Names meet by equi-joins on forms; where several entities offer a shorter form, it goes to the one
+whose spellings outnumber those of all others by far, which is its score, and else to none.
 """
 
 from __future__ import annotations
@@ -62,6 +62,8 @@ LEGAL = frozenset("inc ltd llc corp incorporated limited ltee".split())
 SMALL = frozenset("the of and de du des la le les et for".split())
 #: Words corrected are at least this long, by one slip; by two from the second length on.
 ONE_SLIP, TWO_SLIPS = 4, 6
+#: A form that several keys offer belongs to the one with so many times the spellings of all others together.
+CLEAR = 4
 
 _BRACKETS = re.compile(r"\([^)]*\)")
 _ACRONYM = re.compile(r"[A-Z]{2,8}")
@@ -219,10 +221,13 @@ def link_names(names: DataFrame, col: str) -> DataFrame:
     forms = cut(all_words.mapInArrow(_forms, "name string, key string, offers array<string>, wants array<string>"))
     full = forms.filter("size(wants) = 0")
     offered = full.select("key", F.explode("offers").alias("form")).union(full.filter("key like 'person|%'").select("key", F.col("key").alias("form")))
-    unique = offered.groupBy("form").agg(F.min("key").alias("full"), F.max("key").alias("other")).filter("full = other").select("form", "full")
+    scored = offered.groupBy("form", "key").agg(F.count("*").alias("n"))
+    clear = scored.groupBy("form").agg(F.max(F.struct("n", "key")).alias("b"), F.sum("n").alias("total")).filter(F.col("b.n") >= CLEAR * (F.col("total") - F.col("b.n")))
     wanted = forms.filter("size(wants) > 0").select("name", "key", F.explode("wants").alias("form"))
-    found = wanted.join(unique, "form", "left").groupBy("name").agg(F.min("key").alias("key"), F.min("full").alias("full"), F.max("full").alias("other"))
-    short = found.select("name", F.when(F.col("full") == F.col("other"), F.col("full")).otherwise(F.col("key")).alias("key"))
+    candidates = wanted.join(clear.select("form", F.col("b.key").alias("full"), F.col("b.n").alias("n")), "form", "left")
+    found = candidates.groupBy("name").agg(F.min("key").alias("key"), F.max(F.when(F.col("full").isNotNull(), F.struct("n", "full"))).alias("b"), F.sum("n").alias("total"), F.min("full").alias("least"), F.max("full").alias("most"))
+    one = (F.col("least") == F.col("most")) | (F.col("b.n") >= CLEAR * (F.col("total") - F.col("b.n")))
+    short = found.select("name", F.when(one, F.col("b.full")).otherwise(F.col("key")).alias("key"))
     keyed = cut(full.select("name", "key").union(short))
     heads = keyed.groupBy("key").agg(F.min("name").alias("entity"))
     return keyed.join(heads, "key").select("name", "entity")

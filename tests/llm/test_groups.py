@@ -173,3 +173,16 @@ def test_band_shape_keeps_the_miss_probability():
         rows, bands = near_duplicates.band_shape(n, 0.5)
         assert (1 - 0.5**rows) ** bands <= near_duplicates.MISS_AT_THRESHOLD
     assert near_duplicates.band_shape(10**10, 0.5)[0] > near_duplicates.band_shape(10**6, 0.5)[0]
+
+
+def test_short_names_go_to_the_clear_winner(spark):
+    def entities(rows):
+        return {r["name"]: r["entity"] for r in names.link_names(spark.createDataFrame([(n,) for n in rows], "org string"), "org").collect()}
+
+    many = ["Oxenford Rural Sleep Network", "The Oxenford Rural Sleep Network", "Oxenford Rural Sleep Network Inc.", "Oxenford  Rural Sleep Ntwk."]
+    other = "Orchard Regional Seniors Network"
+    got = entities([*many, other, "ORSN"])
+    assert len({got[n] for n in [*many, "ORSN"]}) == 1 and got[other] == other
+    # without a clear winner the short form stays alone
+    got = entities([many[0], many[1], other, "ORSN"])
+    assert got["ORSN"] == "ORSN" and got[many[0]] == got[many[1]] != got[other]
