@@ -1,16 +1,17 @@
 """Keyword-stuffed and link-list pages (problem 9).
 
-Every page is compressed in blocks; its mean ratio is divided by what pages of its language and
-length usually reach, a statistic of the distinct pages of sentences, which copies cannot move. Extreme
-redundancy flags a page by itself. Where the share of its text that stands in punctuated sentences is
-low, a page is flagged if links are most of it, or if what stays without links, codes and prices is
-more redundant than prose.
+Every page is compressed in blocks, links, codes and prices after the first of their kind and words said
+before in the block standing as one sign each, and its ratio is divided by what pages of its language and length usually reach. A page whose
+redundancy is extreme is flagged if low sentence punctuation confirms it: the share of its text that
+stands in punctuated sentences which say something new on the page, again against the usual share.
+Both conditions must hold. What is usual comes from distinct pages of sentences, so copies cannot move it.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,89 +22,128 @@ from pyspark.sql import functions as F
 from tamarack.plans.lineage import cut
 from tamarack.sources.tables import text_table
 
-BLOCK_BYTES = 1000
-#: Below this share of the usual ratio a page is redundant beyond any prose, sentences or not.
-EXTREME_RATIO = 0.52
-#: Below this share of the usual ratio, links, codes and prices aside, a page without sentences is a list of keywords.
-LIST_RATIO = 0.9
-#: From this share of its text in links and tags on, a page without sentences is a list of links.
-LINK_SHARE = 0.5
-#: Pages with less of their text in sentences have low sentence punctuation.
-LOW_SENTENCES = 0.2
-#: Shorter pages have no measurable ratio; without sentences, they are flagged for links and repeated words.
-LEAST_CHARS = 160
-#: A short page is a list with so many links or tags, or with so many words of which at most this share are distinct.
-SHORT_LINKS, SHORT_WORDS, SHORT_DISTINCT = 2, 6, 0.6
-#: A language and length with fewer pages takes the ratio of its script and length, then 0.57.
+BLOCK_CHARS = 1000
+#: Below this share of the usual ratio a page is extremely redundant.
+EXTREME_RATIO = 0.75
+#: Below this share of the usual share of text in sentences, sentence punctuation is low.
+LOW_SENTENCES = 0.5
+#: A sentence repeats what stands at most so many characters before it.
+MEMORY_CHARS = 2000
+#: Fewer pages than this say nothing about what is usual: length and language, then length and script, then script, then USUAL.
 LEAST_PAGES = 20
-USUAL = 0.57
-#: Only pages with at least this share of their text in sentences say what is usual.
-PROSE = 0.5
-#: The usual ratio is never taken as lower; what falls below EXTREME_RATIO times it is no prose and says nothing about what is usual.
-LEAST_USUAL = 0.4
-
-_END = re.compile(r"[.!?…][\"'”’»)\]]*(?=\s+[^\sa-zß-öø-ÿа-яґєії]|\s*$)|[。！？]")
-_HAN = re.compile(r"[㐀-鿿]")
-_CYRILLIC = re.compile(r"[Ѐ-ӿ]")
-_LATIN = re.compile(r"[A-Za-zÀ-ɏ]")
+#: Ratio and share of text in sentences of ordinary prose of 1,024 characters and more, and what the ratio gains with every halving of the length.
+USUAL, USUAL_SENTENCES, PER_HALVING = 0.5, 0.9, 0.08
+#: Only pages with at least this share of their text in sentences, and a ratio that prose can have, say what is usual.
+PROSE, LEAST_PROSE = 0.5, 0.1
+#: Lengths are told apart by powers of two from 16 characters on; what is longer than 4,096 is alike in blocks.
+SHORTEST, LONGEST = 4, 12
+
+# An end mark before a new start, or one that needs no blank after it.
+_END = re.compile(r"[.!?…։؟۔][\"'”’»)\]]*(?=\s+[^\sa-zß-öø-ÿа-яґєії]|\s*$)|[।॥።፧။។。！？｡]")
 _RUN = re.compile(r"[0-9A-Za-z]{60,}")
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+|\d+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _BLANKS = re.compile(r"\s+")
-_LINK = re.compile(r"(?:https?://|www\.)\S+|#\w+")
-# Codes of letters and digits, and prices; plain numbers are what tables consist of.
-_CODE = re.compile(r"[$€£]\s?\d[\d.,]*|\b(?=\w*\d)(?=\w*[^\W\d_])\w+")
+# Links and tags; prices; codes of letters and digits. Plain numbers are what tables consist of.
+_ITEM = re.compile(r"(?P<link>(?:https?://|www\.)\S+|#\w+)|(?P<price>[$€£]\s?\d[\d.,]*)|(?P<code>\b(?=\w*\d)(?=\w*[^\W\d_])\w+)")
+# Scripts by ranges of their letters; those of UNSPACED set no blanks between words.
+_SCRIPTS = (
+    ("latin", 0x41, 0x24F), ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("armenian", 0x530, 0x58F), ("hebrew", 0x590, 0x5FF), ("arabic", 0x600, 0x8FF),
+    ("devanagari", 0x900, 0x97F), ("indic", 0x980, 0xDFF), ("thai", 0xE00, 0xEFF), ("burmese", 0x1000, 0x109F), ("georgian", 0x10A0, 0x10FF), ("hangul", 0x1100, 0x11FF),
+    ("ethiopic", 0x1200, 0x139F), ("khmer", 0x1780, 0x17FF), ("kana", 0x3040, 0x30FF), ("han", 0x3400, 0x9FFF), ("hangul", 0xAC00, 0xD7A3),
+)
+UNSPACED = ("thai", "burmese", "khmer", "kana", "han")
 
 
-def block_ratio(text: str) -> float:
-    """Compressed over plain size, in blocks; the last block takes what is too short for one of its own.
+def script_of(text: str) -> str:
+    """The script of most letters; a letter of an unspaced script counts twice, as it stands for more of a word."""
+    found: Counter[str] = Counter()
+    for c, n in Counter(text).items():
+        if c.isalpha():
+            code = ord(c)
+            name = next((s for s, a, b in _SCRIPTS if a <= code <= b), "other")
+            found[name] += n * (1 + (name in UNSPACED))
+    return max(found, key=lambda k: (found[k], k)) if found else "none"
 
-    Runs that are longer than any word, such as filler and keys, say nothing about repeated words and are left out.
-    """
-    data = _RUN.sub(" ", text).encode("utf-8", "surrogatepass")
-    n = max(1, len(data) // BLOCK_BYTES)
-    cuts = [k * BLOCK_BYTES for k in range(n)] + [len(data)]
-    return sum(len(zlib.compress(data[a:b], 6)) - 8 for a, b in zip(cuts, cuts[1:], strict=False)) / len(data)
 
+def _compact(text: str) -> bytes:
+    """The text with one byte a character wherever 256 signs suffice, so that ratios of scripts can be compared."""
+    if text.isascii():
+        return text.encode()
+    signs = sorted(set(text))
+    if len(signs) <= 256:
+        return text.translate({ord(c): k for k, c in enumerate(signs)}).encode("latin-1")
+    return text.encode("utf-16-le", "surrogatepass")
 
-def sentence_share(text: str) -> float:
-    """The share of the text in sentences: at least four words, no lower-case start, an end mark before a new start."""
-    good = total = 0
-    for line in text.splitlines():
-        line = _BLANKS.sub(" ", line).strip()
-        total += len(line)
-        at = 0
-        for m in _END.finditer(line):
-            first = line[at : at + 2].strip()[:1]
-            if not first.islower() and (m[0] in "。！？" or line.count(" ", at + 1, m.end()) >= 3):
-                good += m.end() - at
-            at = m.end()
-    return good / total if total else 0.0
 
+def _once(text: str) -> str:
+    """The text with every link, price or code after the first of its kind as one sign: a list of them says one thing again and again."""
+    seen: set[str | None] = set()
 
-def link_share(text: str) -> float:
-    """The share of the text, without blanks, in links and tags."""
-    return sum(m.end() - m.start() for m in _LINK.finditer(text)) / max(1, sum(map(len, text.split())))
+    def to(m: re.Match) -> str:
+        if m.lastgroup in seen:
+            return "0"
+        seen.add(m.lastgroup)
+        return m[0]
 
+    return _ITEM.sub(to, text)
 
-def list_ratio(text: str) -> float:
-    """The ratio of a text without sentences, links, codes and prices aside; 0 where links are most of it."""
-    if link_share(text) >= LINK_SHARE:
-        return 0.0
-    return block_ratio(_CODE.sub("0", _LINK.sub("0", text)))
 
+def _said(block: str) -> str:
+    """The block with every word that stands earlier in it as one sign."""
+    known: set[str] = set()
 
-def short_list(text: str) -> bool:
-    """Whether a text too short for a ratio is links, tags or repeated words instead of sentences."""
-    if sentence_share(text) >= LOW_SENTENCES:
-        return False
-    words = _WORD.findall(text.lower())
-    linked = len(_LINK.findall(text)) >= SHORT_LINKS and link_share(text) >= LINK_SHARE
-    return linked or (len(words) >= SHORT_WORDS and len(set(words)) <= SHORT_DISTINCT * len(words))
+    def to(m: re.Match) -> str:
+        word = m[0].lower()
+        if word in known:
+            return "\x02"
+        known.add(word)
+        return m[0]
 
+    return _LETTERS.sub(to, block)
 
-def script_of(text: str) -> str:
-    counts = {"han": 2 * len(_HAN.findall(text)), "cyrillic": len(_CYRILLIC.findall(text)), "latin": len(_LATIN.findall(text))}
-    return max(counts, key=lambda k: (counts[k], k))
+
+def block_ratio(text: str) -> float:
+    """Compressed over plain size, in blocks; the last block takes what is too short for one of its own.
+
+    Runs that are longer than any word, such as filler and keys, say nothing about repeated words and are left out.
+    """
+    text = _RUN.sub(" ", text)
+    size, kept = len(_compact(text)), _once(text)
+    n = max(1, len(kept) // BLOCK_CHARS)
+    cuts = [k * BLOCK_CHARS for k in range(n)] + [len(kept)]
+    packed = 0
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        block = zlib.compressobj(6, zlib.DEFLATED, -15)
+        packed += len(block.compress(_compact(_said(kept[a:b])))) + len(block.flush())
+    return packed / size
+
+
+def sentence_shares(text: str, unspaced: bool = False) -> tuple[float, float]:
+    """The shares of the text in sentences, and in sentences that are new.
+
+    A sentence has no lower-case start, an end mark and at least four words, or any number where words have no
+    blanks between them; of a new one at least half of the pairs of neighbouring words are not within the last MEMORY_CHARS.
+    """
+    every = new = total = at = 0
+    seen: dict[object, int] = {}
+    for line in text.splitlines():
+        line = _BLANKS.sub(" ", line).strip()
+        total += len(line)
+        start = 0
+        for m in _END.finditer(line):
+            sentence = line[start : m.end()]
+            words = ["0" if w.isdigit() else w for w in _WORD.findall(sentence.lower())]
+            pairs = list(zip(words, words[1:], strict=False)) or words
+            if pairs and (unspaced or len(words) >= 4):
+                fresh = sum(at - seen.get(p, -MEMORY_CHARS - 1) > MEMORY_CHARS for p in pairs)
+                if not sentence.lstrip()[:1].islower():
+                    every += len(sentence)
+                    new += len(sentence) * (2 * fresh >= len(pairs))
+                seen.update(dict.fromkeys(pairs, at))
+            at += len(sentence)
+            start = m.end()
+    return (every / total, new / total) if total else (0.0, 0.0)
 
 
 def _print(text: str) -> str:
@@ -117,44 +157,40 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, text, lang in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             if not text or text.isspace():
                 continue
-            if len(text) < LEAST_CHARS:
-                rows.append((key, len(text), None, None, None, sentence_share(text), None, None, short_list(text)))
-            else:
-                script = script_of(text)
-                code = (lang or "").strip().lower()[:2]
-                sentences = sentence_share(text)
-                listed = list_ratio(text) if sentences < LOW_SENTENCES else None
-                rows.append((key, len(text), script, f"latin-{code}" if script == "latin" and code.isalpha() else script, block_ratio(text), sentences, listed, _print(text), None))
-        kinds = (batch.schema.types[0], pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.string(), pa.bool_())
-        names = ["id", "n", "script", "language", "ratio", "sentences", "listed", "print", "short"]
+            script, code = script_of(text), (lang or "").strip().lower()[:2]
+            language = f"{script}-{code}" if code.isascii() and code.isalpha() else script
+            rows.append((key, len(text), script, language, block_ratio(text), *sentence_shares(text, script in UNSPACED), _print(text)))
+        kinds = (batch.schema.types[0], pa.int32(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.string())
+        names = ["id", "n", "script", "language", "ratio", "punctuated", "sentences", "print"]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names)
 
 
 def spam_scores(pages: DataFrame, id_col: str, text_col: str, lang_col: str | None = None) -> DataFrame:
-    """Rows (id, n_chars, ratio, usual, sentences, spam) of every page; ratio and usual are null under LEAST_CHARS characters.
+    """Rows (id, n_chars, ratio, usual, sentences, usual_sentences, spam) of every page; pages of all lengths are measured alike.
 
     Null, empty and blank texts give no row; repeated rows each give one; other columns are
     ignored; an empty table gives an empty result. Very long texts are read whole.
     """
     source = pages.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"))
     kind = source.schema["id"].dataType.simpleString()
-    measured = cut(source.mapInArrow(_measure, f"id {kind}, n int, script string, language string, ratio double, sentences double, listed double, print string, short boolean"))
-    size = F.least(F.floor(F.log2("n")), F.lit(12)).cast("int")
-    sized = measured.withColumn("size", size)
-    prose = sized.filter((F.col("sentences") >= PROSE) & (F.col("ratio") >= EXTREME_RATIO * LEAST_USUAL))
-
-    def usual_of(name: str, *cell: str) -> DataFrame:
-        once = prose.groupBy(*cell, "print").agg(F.min("ratio").alias("ratio"))
-        return once.groupBy(*cell).agg(F.percentile_approx("ratio", 0.5, 200).alias(name), F.count("*").alias("pages")).filter(f"pages >= {LEAST_PAGES}").drop("pages")
-
-    fine, coarse = usual_of("u0", "size", "script", "language"), usual_of("u1", "size", "script")
-    # at most 13 sizes x 3 scripts x the two-letter codes
-    joined = sized.join(F.broadcast(fine), ["size", "script", "language"], "left").join(F.broadcast(coarse), ["size", "script"], "left")
-    usual = F.when(F.col("short").isNull(), F.greatest(F.coalesce("u0", "u1", F.lit(USUAL)), F.lit(LEAST_USUAL)))
-    relative = F.col("ratio") / usual
-    listed = (F.col("sentences") < LOW_SENTENCES) & (F.col("listed") / usual < LIST_RATIO)
-    spam = F.coalesce("short", (relative < EXTREME_RATIO) | listed)
-    return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "ratio", usual.alias("usual"), "sentences", spam.alias("spam"))
+    measured = cut(source.mapInArrow(_measure, f"id {kind}, n int, script string, language string, ratio double, punctuated double, sentences double, print string"))
+    sized = measured.withColumn("size", F.greatest(F.lit(SHORTEST), F.least(F.floor(F.log2("n")).cast("int"), F.lit(LONGEST))))
+    prose = sized.filter((F.col("punctuated") >= PROSE) & (F.col("ratio") >= LEAST_PROSE))
+    once = prose.groupBy("size", "script", "language", "print").agg(F.min("ratio").alias("ratio"), F.max("sentences").alias("sentences"))
+
+    def usual_of(level: int, *cell: str) -> DataFrame:
+        middle = [F.percentile_approx(c, 0.5, 200).alias(f"{c}_{level}") for c in ("ratio", "sentences")]
+        return once.groupBy(*cell).agg(*middle, F.count("*").alias("pages")).filter(f"pages >= {LEAST_PAGES}").drop("pages")
+
+    joined = sized
+    # at most 9 lengths x 17 scripts x the two-letter codes
+    for level, cell in enumerate((("size", "script", "language"), ("size", "script"), ("script",))):
+        joined = joined.join(F.broadcast(usual_of(level, *cell)), list(cell), "left")
+    prior = F.lit(USUAL) + F.lit(PER_HALVING) * F.greatest(F.lit(0), 10 - F.col("size"))
+    usual = F.coalesce("ratio_0", "ratio_1", "ratio_2", prior)
+    usual_sentences = F.coalesce("sentences_0", "sentences_1", "sentences_2", F.lit(USUAL_SENTENCES))
+    spam = (F.col("ratio") < EXTREME_RATIO * usual) & (F.col("sentences") < LOW_SENTENCES * usual_sentences)
+    return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "ratio", usual.alias("usual"), "sentences", usual_sentences.alias("usual_sentences"), spam.alias("spam"))
 
 
 def p9_scores(spark: SparkSession, sf: str) -> DataFrame:

@@ -274,3 +274,19 @@ def test_points_of_prose_are_no_addresses(prose):
     assert pii.find_items(prose) == []
     found = pii.find_items(source := f"a@b.example point de vue. {prose}")
     assert [(k, source[a:b]) for k, a, b in found] == [("email", "a@b.example")]
+
+
+HINDI = "समिति को ग्रामीण क्लीनिकों के लिए बिना देरी के धन देना चाहिए। कई परिवार डॉक्टर से मिलने के लिए महीनों प्रतीक्षा करते हैं। हम सरकार से अपने आंकड़े प्रकाशित करने की सिफारिश करते हैं। पिछले वर्ष नर्सों की संख्या घट गई और अस्पतालों में भीड़ बढ़ी। दवाओं की कीमत गरीब घरों की पहुंच से बाहर है। बच्चों के टीके समय पर नहीं पहुंचते, इसलिए बीमारी फैलती है।"
+THAI = "คณะกรรมการควรสนับสนุนเงินทุนให้คลินิกในชนบทโดยไม่ชักช้า หลายครอบครัวรอหลายเดือนกว่าจะได้พบแพทย์ เราแนะนำให้รัฐบาลเผยแพร่ข้อมูลของตนต่อสาธารณะ ปีที่แล้วจำนวนพยาบาลลดลงและโรงพยาบาลแออัดมากขึ้น ราคายาสูงเกินกว่าที่ครัวเรือนยากจนจะซื้อได้ วัคซีนสำหรับเด็กมาถึงช้าจึงเกิดโรคระบาดในหมู่บ้านห่างไกล"
+POEM = "\n".join("the river carries what the winter kept\nan old grey boat, a letter and a shoe\nnobody on the eastern landing slept\nand still the lantern showed the barges through\n\nmy mother counted every passing sail\nand wrote the numbers inside almanacs\nthe neighbours brought her biscuits with the mail\nshe thanked them kindly, never turning back".split("\n"))
+CODE = 'def merge(left, right):\n    """Two sorted lists as one."""\n    out, i, j = [], 0, 0\n    while i < len(left) and j < len(right):\n        if right[j] < left[i]:\n            out.append(right[j])\n            j += 1\n        else:\n            out.append(left[i])\n            i += 1\n    return out + left[i:] + right[j:]\n\n\nclass Store(dict):\n    def __missing__(self, key):\n        value = self[key] = compute(key, verbose=False)\n        return value\n\n\nif __name__ == "__main__":\n    print(merge(sorted(map(int, open("a.txt"))), sorted(range(9))))\n'
+
+
+@pytest.mark.parametrize("pages", [0, 60])
+def test_prose_of_other_scripts_poems_and_code_are_no_spam(spark, pages):
+    rng = random.Random(31)
+    rows = [(k, _prose(rng, rng.randint(6, 30)), "en") for k in range(pages)]
+    rows += [(900 + k, t, None) for k, t in enumerate((HINDI, THAI, POEM, CODE, THAI + " " + POEM))]
+    rows += [(800, "护膝，眼药水，护膝，护膝，眼药水，" * 20, "zh"), (801, "घुटने का ब्रेस सस्ता दाम, " * 25, "hi")]
+    got = {r["doc_id"] for r in spam.spam_scores(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang").filter("spam").collect()}
+    assert got == {800, 801}
