@@ -33,3 +33,25 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, count_col: str, tot
     joined = tagged.join(cold, F.col("_jk") == F.col("_ck"), "left")
     picked = F.coalesce(F.col("_hot"), F.col("_cold"))
     return joined.select(*left.columns, *[picked[c].alias(c) for c in columns])
+
+
+#: Rows of one key that one task of a split join takes from the left side.
+SPLIT_ROWS = 4096
+#: At most this many keys are split; their sizes are broadcast.
+SPLIT_KEYS = 10_000
+
+
+def split_join(left: DataFrame, right: DataFrame, key: str, total_rows: int, spread: Column) -> DataFrame:
+    """Inner join on ``key`` for keys that may hold many rows on both sides; other columns must have different names.
+
+    A key with more than SPLIT_ROWS rows on the left, and more than 1/SPLIT_KEYS of ``total_rows``, is dealt out by
+    ``spread`` to as many salts as it has SPLIT_ROWS, and its right rows go to each of them. There are at most
+    SPLIT_KEYS such keys, which bounds what is broadcast. Null keys match nothing.
+    """
+    least = max(SPLIT_ROWS, total_rows // SPLIT_KEYS)
+    sizes = left.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n")).filter(F.col("_n") > least)
+    salts = sizes.select("_k", F.ceil(F.col("_n") / SPLIT_ROWS).cast("int").alias("_salts"))
+    dealt = left.join(F.broadcast(salts), F.col(key) == F.col("_k"), "left").withColumn("_salt", F.pmod(F.xxhash64(spread), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_k", "_salts")
+    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copied = right.join(F.broadcast(salts), F.col(key) == F.col("_k"), "left").withColumn("_salt", F.explode(copies)).drop("_k", "_salts")
+    return dealt.join(copied, [key, "_salt"]).drop("_salt")

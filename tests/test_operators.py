@@ -45,6 +45,16 @@ def test_lookup_join_with_a_hot_key(spark, monkeypatch):
     assert got == {**dict.fromkeys(range(100), "H"), 100: "C", 101: None, 102: None}
 
 
+def test_split_join_with_a_hot_key(spark, monkeypatch):
+    import tamarack.plans.skew as skew
+
+    monkeypatch.setattr(skew, "SPLIT_ROWS", 10)
+    left = spark.createDataFrame([("hot", k) for k in range(100)] + [("cold", 100), (None, 101), ("gone", 102)], "k string, i int")
+    right = spark.createDataFrame([("hot", k) for k in range(7)] + [("cold", 8), (None, 9)], "k string, j int")
+    got = sorted((r["k"], r["i"], r["j"]) for r in skew.split_join(left, right, "k", 103, F.col("i")).collect())
+    assert got == sorted([("hot", i, j) for i in range(100) for j in range(7)] + [("cold", 100, 8)])
+
+
 def test_hash_rank_is_a_rank(spark):
     df = spark.range(500).select((F.col("id") % 3).alias("g"), "id").withColumn("h", hash_order(1, F.col("id").cast("string")))
     rows = hash_rank(df, ["g"], "h").collect()
