@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tamarack.operators.components import hash_to_min
 from tamarack.plans.lineage import cut
+from tamarack.plans.skew import split_join
 from tamarack.sources.tables import text_table
 
 #: Places on the circle; collisions of a record's shingles are about its size squared over this.
@@ -34,6 +35,12 @@ SKETCH_BITS, SKETCH_SHIFT = 128, 4096
 SKETCH_SLACK = 3.6
 #: A pair at the threshold is missed by all bands with at most this probability.
 MISS_AT_THRESHOLD = 0.02
+#: Coordinates of a band. More of them make fewer chance candidates and more bands, at 8 bytes of shuffle a band and record.
+ROWS = 4
+#: Parts of band entries are at least so many, so that small inputs keep all cores busy.
+MOST_CORES = 256
+#: Bytes of band entries that make one part, which one task holds and sorts at a time.
+PART_BYTES = 32 << 20
 #: Runs of one band key longer than this are compared in a salted join instead of inside one task.
 LONG_RUN = 4000
 
@@ -41,13 +48,10 @@ _ODD = re.compile(r"[^\x00-\x7f\w]")
 _ALNUM = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def band_shape(records: int, threshold: float) -> tuple[int, int]:
-    """(rows, bands): longer bands for larger collections keep chance collisions in proportion; the miss probability stays."""
-    rows = 4
-    while rows < 9 and records > 5_000_000 * 20 ** (rows - 4):
-        rows += 1
+def bands_for(rows: int, threshold: float) -> int:
+    """Bands of ``rows`` coordinates that miss a pair at the threshold with at most MISS_AT_THRESHOLD."""
     hit = threshold**rows
-    return rows, max(1, int(np.ceil(np.log(MISS_AT_THRESHOLD) / np.log1p(-hit)))) if hit < 1 else 1
+    return max(1, int(np.ceil(np.log(MISS_AT_THRESHOLD) / np.log1p(-hit)))) if hit < 1 else 1
 
 
 @cache
@@ -113,25 +117,25 @@ def _signatures(shingles: list[np.ndarray], width: int, shift: int) -> np.ndarra
     return out
 
 
-def _number(c: bytes) -> int:
-    return int.from_bytes(c[:4], "little")
+def _number(c: bytes, bits: int = 32) -> int:
+    return int.from_bytes(c[:4], "little") >> (32 - bits)
 
 
-def _describe(size: int):
+def _describe(size: int, bits: int):
     """id, class, number (32 bits of the class) and sketch of each record that has shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [(key, *p) for key, p in zip(batch.column(0).to_pylist(), _prepared(batch.column(1).to_pylist(), size), strict=True) if p]
-            bits = np.packbits(_signatures([m[2] for m in made], SKETCH_BITS, SKETCH_SHIFT) & 1, axis=1)
-            sketch = np.ascontiguousarray(bits).view(np.int64).reshape(len(made), 2)
-            numbers = [_number(m[1]) for m in made]
+            lowest = np.packbits(_signatures([m[2] for m in made], SKETCH_BITS, SKETCH_SHIFT) & 1, axis=1)
+            sketch = np.ascontiguousarray(lowest).view(np.int64).reshape(len(made), 2)
+            numbers = [_number(m[1], bits) for m in made]
             yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.binary()), pa.array(numbers, pa.int64()), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])], ["id", "class", "num", "s1", "s2"])
 
     return run
 
 
-def _band_chunks(size: int, rows: int, bands: int, parts: int):
+def _band_chunks(size: int, rows: int, bands: int, parts: int, bits: int):
     """Band entries by part: arrays of 32-bit key remainders and record numbers; a class counts once in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +144,7 @@ def _band_chunks(size: int, rows: int, bands: int, parts: int):
             by_class = dict(p for p in _prepared(batch.column(0).to_pylist(), size) if p)
             if not by_class:
                 continue
-            numbers = np.array([_number(c) for c in by_class], dtype=np.uint64)
+            numbers = np.array([_number(c, bits) for c in by_class], dtype=np.uint64)
             sig = _signatures(list(by_class.values()), rows * bands, 0).reshape(len(numbers), bands, rows).astype(np.uint64)
             with np.errstate(over="ignore"):
                 key = np.broadcast_to(salt, (len(numbers), bands)).copy()
@@ -158,13 +162,13 @@ def _band_chunks(size: int, rows: int, bands: int, parts: int):
     return run
 
 
-def _pairs_in(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pairs_in(entries: np.ndarray, long_run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(pairs as first << 32 | second, keys and numbers of long runs) of one part's entries."""
     e = np.unique(entries)
     key, num = e >> np.uint64(32), e & np.uint64(0xFFFFFFFF)
     edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
     length = np.diff(edge)
-    long = np.repeat(length > LONG_RUN, length)
+    long = np.repeat(length > long_run, length)
     hot_key, hot_num = key[long], num[long]
     multi = np.repeat(length > 1, length) & ~long
     key, num = key[multi], num[multi]
@@ -177,34 +181,37 @@ def _pairs_in(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64), hot_key, hot_num
 
 
-def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_pairs(long_run: int):
     """Candidate pairs of the parts of one task; rows come sorted by part. Long runs come out as single entries with hot set."""
 
     def emit(part: int, held: list[bytes]) -> pa.RecordBatch:
-        pairs, hot_key, hot_num = _pairs_in(np.frombuffer(b"".join(held), dtype=np.uint64))
+        pairs, hot_key, hot_num = _pairs_in(np.frombuffer(b"".join(held), dtype=np.uint64), long_run)
         keys = (np.uint64(part) << np.uint64(32)) | hot_key
         return pa.RecordBatch.from_arrays([pa.array(np.r_[pairs, hot_num].astype(np.int64)), pa.array(np.r_[np.zeros(len(pairs), np.uint64), keys].astype(np.int64)), pa.array(np.r_[np.zeros(len(pairs), bool), np.ones(len(hot_num), bool)])], ["value", "key", "hot"])
 
-    current, held = None, []
-    for batch in batches:
-        for part, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if part != current and held:
-                yield emit(current, held)
-                held = []
-            current = part
-            held.append(entries)
-    if held:
-        yield emit(current, held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+        for batch in batches:
+            for part, entries in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if part != current and held:
+                    yield emit(current, held)
+                    held = []
+                current = part
+                held.append(entries)
+        if held:
+            yield emit(current, held)
+
+    return run
 
 
-def _packed_sets(size: int):
+def _packed_sets(size: int, bits: int):
     """Number, class and the upper 32 bits of the distinct shingles of each record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [p for p in _prepared(batch.column(0).to_pylist(), size) if p]
             packed = [np.unique((s >> np.uint64(32)).astype(np.uint32)).tobytes() for _, s in made]
-            yield pa.RecordBatch.from_arrays([pa.array([_number(c) for c, _ in made], pa.int64()), pa.array([c for c, _ in made], pa.binary()), pa.array(packed, pa.binary())], ["num", "class", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array([_number(c, bits) for c, _ in made], pa.int64()), pa.array([c for c, _ in made], pa.binary()), pa.array(packed, pa.binary())], ["num", "class", "set"])
 
     return run
 
@@ -225,51 +232,57 @@ def _verify(threshold: float):
     return run
 
 
-def similar_classes(records: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, shingle: int = 5) -> tuple[DataFrame, DataFrame]:
+def similar_classes(records: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, shingle: int = 5, rows: int = ROWS, long_run: int = LONG_RUN, number_bits: int = 32) -> tuple[DataFrame, DataFrame]:
     """(members, links): members has (class, id) of each record with at least ``shingle`` words, links the class pairs at or above the threshold.
 
     Equal word sequences make one class. Null, empty and shorter texts have no class. Repeated rows
     count once; other columns are ignored; an empty table gives empty results. Every pair of classes
     at the threshold is found with probability 1 - MISS_AT_THRESHOLD, of higher similarity with more;
     the reported similarity counts shingles by 32 bits of their hashes, which for sets of n and m
-    shingles is off by one with probability n * m / 2**32.
+    shingles is off by one with probability n * m / 2**32. Shape and rules are the same at every size.
     """
-    spark = records.sparkSession
     source = records.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null and text is not null")
-    info = cut(source.mapInArrow(_describe(shingle), "id string, class binary, num long, s1 long, s2 long"))
+    info = cut(source.mapInArrow(_describe(shingle, number_bits), "id string, class binary, num long, s1 long, s2 long"))
     members = info.select("class", "id").distinct()
-    rows, bands = band_shape(info.count(), threshold)
-    parts = max(256, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    chunks = source.select("text").mapInArrow(_band_chunks(shingle, rows, bands, parts), "part int, entries binary")
-    found = cut(chunks.repartition("part").sortWithinPartitions("part").mapInArrow(_bucket_pairs, "value long, key long, hot boolean"))
+    bands = bands_for(rows, threshold)
+    parts = max(MOST_CORES, -(-info.count() * bands * 8 // PART_BYTES))
+    chunks = source.select("text").mapInArrow(_band_chunks(shingle, rows, bands, parts, number_bits), "part int, entries binary")
+    found = cut(chunks.repartition("part").sortWithinPartitions("part").mapInArrow(_bucket_pairs(long_run), "value long, key long, hot boolean"))
     direct = found.filter("not hot").select(F.shiftrightunsigned("value", 32).alias("a"), F.col("value").bitwiseAND(0xFFFFFFFF).alias("b"))
-    hot = found.filter("hot").select("key", F.col("value").alias("num"))
-    salts = 64
-    left = hot.select("key", F.col("num").alias("a"), F.pmod(F.xxhash64("num"), F.lit(salts)).alias("salt"))
-    right = hot.select("key", F.col("num").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt"))
-    candidates = direct.unionByName(left.join(right, ["key", "salt"]).filter("a < b").select("a", "b")).distinct()
-    sketches = info.groupBy("num").agg(F.collect_set(F.struct("s1", "s2")).alias("found")).select("num", F.explode("found").alias("s")).select("num", "s.s1", "s.s2")
+    # every pair of a long run is a candidate too; the run is dealt out to as many tasks as it needs
+    hot = cut(found.filter("hot").select("key", F.col("value").alias("a")))
+    in_runs = split_join(hot, hot.select("key", F.col("a").alias("b")), "key", hot.count(), F.col("a")).filter("a < b").select("a", "b")
+    candidates = direct.unionByName(in_runs).distinct()
+    classes = info.groupBy("num").agg(F.collect_set(F.struct("class", "s1", "s2")).alias("found"))
+    sketches = classes.select("num", F.explode("found").alias("s")).select("num", "s.s1", "s.s2")
     expected = SKETCH_BITS * (1 + threshold) / 2
     least = int(expected - SKETCH_SLACK * (SKETCH_BITS * (1 + threshold) / 2 * (1 - threshold) / 2) ** 0.5)
     sk = [sketches.toDF(x, f"p_{x}", f"q_{x}") for x in ("a", "b")]
     agree = SKETCH_BITS - F.bit_count(F.col("p_a").bitwiseXOR(F.col("p_b"))) - F.bit_count(F.col("q_a").bitwiseXOR(F.col("q_b")))
-    likely = cut(candidates.join(sk[0], "a").join(sk[1], "b").filter(agree >= least).select("a", "b").distinct())
+    alike = candidates.join(sk[0], "a").join(sk[1], "b").filter(agree >= least).select("a", "b")
+    # classes that share a number look like one in a bucket, so they are all compared
+    shared = classes.filter(F.size("found") > 1).select(F.col("num").alias("a"), F.col("num").alias("b"))
+    likely = cut(alike.unionByName(shared).distinct())
     # one record of each class that is in a likely pair is read again and cut into its shingles
     wanted = likely.select(F.explode(F.array("a", "b")).alias("num")).distinct()
     heads = info.groupBy("class").agg(F.min("id").alias("id"), F.min("num").alias("num")).join(wanted, "num", "left_semi").select("id")
-    sets = source.join(heads, "id", "left_semi").select("text").mapInArrow(_packed_sets(shingle), "num long, class binary, set binary")
+    sets = source.join(heads, "id", "left_semi").select("text").mapInArrow(_packed_sets(shingle, number_bits), "num long, class binary, set binary")
     sets = sets.groupBy("num").agg(F.collect_set(F.struct("class", "set")).alias("found")).select("num", F.explode("found").alias("f")).select("num", "f.class", "f.set")
     first = likely.join(sets.select(F.col("num").alias("a"), F.col("class").alias("class_a"), F.col("set").alias("set_a")), "a")
     both = first.join(sets.select(F.col("num").alias("b"), F.col("class").alias("class_b"), F.col("set").alias("set_b")), "b")
+    both = both.filter((F.col("a") < F.col("b")) | (F.col("class_a") < F.col("class_b")))
     links = both.select("class_a", "class_b", "set_a", "set_b").mapInArrow(_verify(threshold), "class_a binary, class_b binary, similarity double")
     return members, cut(links)
 
 
 def similar_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """All record pairs (a < b) of linked classes and within classes."""
+    """All record pairs (a < b) of linked classes and within classes; classes of many copies are dealt out."""
+    total = members.count()
     m = [members.toDF(f"class_{x}", x) for x in ("a", "b")]
-    across = links.join(m[0], "class_a").join(m[1], "class_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    within = m[0].join(m[1], F.col("class_a") == F.col("class_b")).filter("a < b").select("a", "b")
+    named = links.select("class_a", "class_b")
+    one = split_join(m[0], named, "class_a", total, F.col("a")).select("a", "class_b")
+    across = split_join(m[1], one, "class_b", total, F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    within = split_join(m[0], members.toDF("class_a", "b"), "class_a", total, F.col("a")).filter("a < b").select("a", "b")
     return across.unionByName(within).filter("a <> b").distinct()
 
 

@@ -155,11 +155,10 @@ def test_near_duplicates_against_brute_force(spark, threshold, size):
         assert ("copy1", "copy2") in got
 
 
-def test_long_runs_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(near_duplicates, "LONG_RUN", 3)
+def test_long_runs_lose_nothing(spark):
     body = " ".join(f"w{k}" for k in range(100))
     df = spark.createDataFrame([(f"d{k:02d}", f"{body} extra{k}") for k in range(12)] + [(f"c{k}", body) for k in range(5)], "k string, t string")
-    members, links = near_duplicates.similar_classes(df, "k", "t", 0.8, 5)
+    members, links = near_duplicates.similar_classes(df, "k", "t", 0.8, 5, long_run=3)
     assert near_duplicates.similar_pairs(members, links).count() == 17 * 16 // 2
 
 
@@ -168,11 +167,18 @@ def test_near_duplicates_of_nothing(spark):
     assert members.count() == 0 and links.count() == 0
 
 
-def test_band_shape_keeps_the_miss_probability():
-    for n in (10, 10**7, 10**9, 10**11):
-        rows, bands = near_duplicates.band_shape(n, 0.5)
-        assert (1 - 0.5**rows) ** bands <= near_duplicates.MISS_AT_THRESHOLD
-    assert near_duplicates.band_shape(10**10, 0.5)[0] > near_duplicates.band_shape(10**6, 0.5)[0]
+def test_bands_keep_the_miss_probability():
+    for threshold in (0.5, 0.8):
+        for rows in (3, near_duplicates.ROWS, 8):
+            assert (1 - threshold**rows) ** near_duplicates.bands_for(rows, threshold) <= near_duplicates.MISS_AT_THRESHOLD
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2])
+def test_classes_that_share_a_number_are_compared(spark, bits):
+    body = " ".join(f"w{k}" for k in range(100))
+    df = spark.createDataFrame([(f"d{k:02d}", f"{body} extra{k}") for k in range(6)] + [("z", "something else that is long enough to have shingles")], "k string, t string")
+    members, links = near_duplicates.similar_classes(df, "k", "t", 0.8, 5, number_bits=bits)
+    assert near_duplicates.similar_pairs(members, links).count() == 15
 
 
 def test_short_names_go_to_the_clear_winner(spark):
