@@ -1,8 +1,9 @@
 """Connected components by hash-to-min over a relation of (node, member) rows.
 
-A node's cluster is kept as rows, never as one array, so a hub with a third of all nodes is
-spread over many tasks. Each round sends every cluster to its minimum and the minimum to every
-member; rounds needed grow with the logarithm of the longest path.
+A node's cluster is kept as rows, never as one array, and a hub's rows find their minimum by a broadcast
+of the few hot nodes, so that a hub with a third of all nodes is spread over many tasks. Each round sends
+every cluster to its minimum and the minimum to every member; rounds needed grow with the logarithm of
+the longest path. The rows of a past round are deleted from the checkpoint folder once the next is written.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.plans.lineage import cut
+from tamarack.plans.lineage import cut, forget
+from tamarack.plans.skew import lookup_join
 
 MAX_ROUNDS = 60
 
@@ -29,9 +31,10 @@ def hash_to_min(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = cut(e.union(e.select("u", "v")).union(e.select("v", F.col("v").alias("u"))).union(e.select("u", "u")).toDF("v", "u").distinct())
     seen = _fingerprint(state)
     for _ in range(MAX_ROUNDS):
-        least = state.groupBy("v").agg(F.min("u").alias("m"))
-        sent = state.join(least, "v").select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("s")).select("s.v", "s.u")
-        state = cut(sent.distinct())
+        least = state.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n"))
+        sent = lookup_join(state, least, "v", "n", seen[0], F.col("u")).select(F.explode(F.array(F.struct(F.col("m").alias("v"), F.col("u").alias("u")), F.struct(F.col("u").alias("v"), F.col("m").alias("u")))).alias("s")).select("s.v", "s.u")
+        before, state = state, cut(sent.distinct())
+        forget(before)
         now = _fingerprint(state)
         if now == seen:
             return state.groupBy("v").agg(F.min("u").alias("component")).withColumnRenamed("v", "node")

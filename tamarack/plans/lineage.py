@@ -25,3 +25,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Write df to the shared checkpoint folder and continue from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the written copy behind a frame that ``cut`` returned and nothing reads any more."""
+    plan = df._jdf.queryExecution().logical()
+    file = plan.rdd().getCheckpointFile() if hasattr(plan, "rdd") else None
+    if file is not None and file.isDefined():
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
