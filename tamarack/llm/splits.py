@@ -17,7 +17,7 @@ from tamarack.plans.lineage import cut
 from tamarack.plans.skew import lookup_join
 from tamarack.sources.tables import table
 
-#: A component with more than this share of all records is placed by the driver; there are at most 1 / GIANT_SHARE of them.
+#: Components above this share of all records are hashed one after another, each with the room the larger ones left; there are at most 1 / GIANT_SHARE of them.
 GIANT_SHARE = 0.002
 
 
@@ -31,54 +31,75 @@ def tie_keys(cluster: Column, org: Column) -> Column:
 def tied_groups(records: DataFrame, id_col: str = "doc_id", cluster_col: str = "near_dup_cluster", org_col: str = "org", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per record id: its id, ``keep`` columns, group_id and group_rows.
 
-    Repeated rows of an id are merged and all their keys tie. Records without keys are their own
+    Repeated rows of an id are merged and all their keys tie, however many. Records without keys are their own
     group. Null ids are left out. group_id is the smallest id of the group. Input columns other
     than those named are ignored. An empty table gives an empty result.
     """
     rows = records.select(F.col(id_col).cast("string").alias("id"), tie_keys(F.col(cluster_col), F.col(org_col)).alias("ks"), *[F.col(c).alias(f"keep_{c}") for c in keep]).filter("id is not null")
-    docs = rows.groupBy("id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("ks")))).alias("ks"), *[F.min(f"keep_{c}").alias(f"keep_{c}") for c in keep])
-    docs = cut(docs.withColumn("k", F.try_element_at("ks", F.lit(1))))
-    edges = docs.filter(F.size("ks") > 1).select("k", F.explode(F.slice("ks", 2, 1_000_000)).alias("b")).distinct()
+    rows = rows.withColumn("first", F.try_element_at("ks", F.lit(1)))
+    docs = cut(rows.groupBy("id").agg(F.min("first").alias("k"), F.max("first").alias("last"), *[F.min(f"keep_{c}").alias(f"keep_{c}") for c in keep]))
+    # a row ties its keys to its first one; rows of one id with other first keys tie those to the id's
+    inside = rows.filter(F.size("ks") > 1).select(F.col("first").alias("k"), F.explode("ks").alias("b"))
+    repeated = docs.filter(F.col("k") != F.col("last")).select("id", "k").join(rows.select("id", F.col("first").alias("b")), "id").select("k", "b")
+    edges = inside.unionByName(repeated).filter("k <> b").distinct()
     comps = hash_to_min(edges, "k", "b")
     per_key = docs.filter("k is not null").groupBy("k").agg(F.min("id").alias("least"), F.count("*").alias("n"))
     named = per_key.join(comps, F.col("k") == F.col("node"), "left").select("k", "least", "n", F.coalesce("component", "k").alias("component"))
     per_comp = named.groupBy("component").agg(F.min("least").alias("group_id"), F.sum("n").alias("group_rows"))
     keys = named.join(per_comp, "component").select("k", "n", "group_id", "group_rows")
     total = docs.count()
-    joined = lookup_join(docs.drop("ks"), keys, "k", "n", total, F.col("id"))
+    joined = lookup_join(docs.drop("last"), keys, "k", "n", total, F.col("id"))
     return joined.select(F.col("id").alias(id_col), *[F.col(f"keep_{c}").alias(c) for c in keep], F.coalesce("group_id", "id").alias("group_id"), F.coalesce("group_rows", F.lit(1)).alias("group_rows"))
 
 
+def _luck(key: Column, name: str, seed: int) -> Column:
+    """-ln of a uniform number that depends on key and split: the exponential draw behind rendezvous hashing."""
+    return -F.log(hash_unit(key, F.lit(name), F.lit(seed)))
+
+
 def _rendezvous(key: Column, weights: list[tuple[str, Column]], seed: int) -> Column:
     """The split with the greatest weight / -ln(u), u depending on key and split; splits of weight 0 are never chosen."""
-    scores = [F.when(w > 0, F.struct((w / -F.log(hash_unit(key, F.lit(name), F.lit(seed)))).alias("score"), F.lit(name).alias("name"))) for name, w in weights]
+    scores = [F.when(w > 0, F.struct((w / _luck(key, name, seed)).alias("score"), F.lit(name).alias("name"))) for name, w in weights]
     return F.greatest(*scores, F.lit(None).cast("struct<score:double,name:string>"))["name"]
 
 
+def _fitting(room: dict[str, float], size: float) -> dict[str, float]:
+    """Weights for a component: the room of the splits it fits into, or of all that have any where it fits nowhere, or else 1 for all."""
+    for least in (size, 1e-9):
+        fits = {n: r for n, r in room.items() if r >= least}
+        if fits:
+            return fits
+    return dict.fromkeys(room, 1.0)
+
+
 def assign_splits(grouped: DataFrame, targets: list[tuple[str, float]], stratum: str, id_col: str = "doc_id", seed: int = 42) -> DataFrame:
-    """Give every group one split, with shares near ``targets`` overall and within ``stratum``.
+    """Give every group one split by weighted rendezvous hashing, with shares near ``targets`` overall and within ``stratum``.
 
-    Groups above GIANT_SHARE of all records go to the split that lacks most records (there are at most
-    1 / GIANT_SHARE of them, which bounds what reaches the driver). Other groups of several records
-    are hashed with the capacity the giants left as weights; single records are hashed last, with
-    the capacity left in their stratum as weights. Rows: id, stratum, group_id, split_name.
+    The weights are the room that larger groups have left in the splits. Groups above GIANT_SHARE of all
+    records move the room by themselves, so they are hashed one after another, the largest first (there are at
+    most 1 / GIANT_SHARE of them, which bounds what reaches the driver); a split that a group doesn't fit into has
+    weight 0 where it fits into another. All other groups of several records are hashed with the room then left,
+    single records last with the room left in their stratum. Rows: id, stratum, group_id, split_name.
     """
     names = [n for n, _ in targets]
     whole = sum(w for _, w in targets) or 1.0
     share = {n: w / whole for n, w in targets}
     total = grouped.count()
     limit = max(1, int(GIANT_SHARE * total))
-    giants = grouped.filter(F.col("group_rows") > limit).groupBy("group_id").agg(F.max("group_rows").alias("n")).orderBy(F.desc("n"), "group_id").collect()
+    draws = [_luck(F.col("group_id"), n, seed).alias(f"luck_{i}") for i, n in enumerate(names)]
+    giants = grouped.filter(F.col("group_rows") > limit).groupBy("group_id").agg(F.max("group_rows").alias("n")).select("group_id", "n", *draws).orderBy(F.desc("n"), "group_id").collect()
     left = {n: share[n] * total for n in names}
     placed: dict[str, str] = {}
     for g in giants:
-        best = max(names, key=lambda n: (left[n], n))
+        luck = {n: g[f"luck_{i}"] for i, n in enumerate(names)}
+        weights = _fitting(left, g["n"])
+        best = max(weights, key=lambda n: (weights[n] / luck[n], n))
         placed[g["group_id"]] = best
         left[best] -= g["n"]
     spark = grouped.sparkSession
     giant_df = spark.createDataFrame(list(placed.items()) or [], "group_id string, giant string")
     tagged = grouped.join(F.broadcast(giant_df), "group_id", "left")
-    overall = [(n, F.lit(float(max(0.0, left[n])))) for n in names]
+    overall = [(n, F.lit(float(w))) for n, w in _fitting({n: left[n] for n in names}, 1e-9).items()]
     middle = tagged.withColumn("early", F.coalesce("giant", F.when(F.col("group_rows") > 1, _rendezvous(F.col("group_id"), overall, seed))))
     counts = middle.groupBy(stratum).agg(F.count("*").alias("n"), *[F.sum((F.col("early") == n).cast("long")).alias(f"has_{i}") for i, n in enumerate(names)])
     room = counts.select(F.col(stratum).alias("_s"), *[F.greatest(F.lit(share[n]) * F.col("n") - F.coalesce(f"has_{i}", F.lit(0)), F.lit(0.0)).alias(f"room_{i}") for i, n in enumerate(names)])

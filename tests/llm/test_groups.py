@@ -52,6 +52,23 @@ def test_splits_keep_groups_and_shares(spark):
         assert abs(sum(r["split_name"] == name for r in out) / 3000 - share) < 0.03
 
 
+def test_repeated_ids_tie_all_their_keys(spark):
+    rows = [("a", "c1", "X", "t"), ("a", "c2", None, "t"), ("a", None, "M", "t"), ("a", None, None, "t"), ("b", "c2", None, "t"), ("c", None, "M", "t"), ("d", "c9", None, "t"), ("e", None, " / ".join(f"o{k}" for k in range(300)), "t"), ("f", None, "o299", "t")]
+    got = {r["doc_id"]: (r["group_id"], r["group_rows"]) for r in splits.tied_groups(_records(spark, rows)).collect()}
+    assert got == {"a": ("a", 3), "b": ("a", 3), "c": ("a", 3), "d": ("d", 1), "e": ("e", 2), "f": ("e", 2)}
+
+
+@pytest.mark.parametrize("giant", [0.05, 0.3, 0.9])
+def test_giants_keep_the_shares(spark, giant):
+    n = 2000
+    rows = [(f"r{k:04d}", None, "Hub" if k < giant * n else f"s{k // 8}" if k % 3 else None, "t") for k in range(n)]
+    grouped = splits.tied_groups(_records(spark, rows), keep=("topic_seed",))
+    out = splits.assign_splits(grouped, [("train", 0.8), ("validation", 0.1), ("test", 0.1)], "topic_seed").collect()
+    sizes = {s: sum(r["split_name"] == s for r in out) / n for s in ("train", "validation", "test")}
+    assert len({r["split_name"] for r in out if r["group_id"] == "r0000"}) == 1
+    assert sizes["train"] >= 0.77 if giant < 0.9 else sizes["train"] >= 0.9
+
+
 def test_splits_of_nothing(spark):
     grouped = splits.tied_groups(_records(spark, ROWS).limit(0), keep=("topic_seed",))
     assert splits.assign_splits(grouped, [("train", 1.0)], "topic_seed").count() == 0
