@@ -1,9 +1,11 @@
 """Samples that match target category proportions (problem 2).
 
-The records are counted by cell (category x kind of unit); the counts and the targets make a small
-network on the driver whose minimum-cost flow gives integer quotas per cell and, on slack arcs, the
-shortfall of each category. The quotas are then drawn by hash order: a histogram of hash buckets
-finds the bucket in which a quota ends, so only that bucket is ever ranked.
+The records are counted by cell (category x kind of unit). On the driver the counts and the targets of a
+plan make a small network: one arc carries the plan's total, a category's arcs carry its floor, its target
+and, at a cost that rises with the distance from the target, what it may take over from others; cells carry
+what is available. The minimum-cost flow keeps the total and the floors wherever the units allow it and
+spreads what a short category leaves over; slack arcs give the shortfalls. Cell quotas are rounded at random
+and drawn by hash order: one histogram of hash buckets finds the bucket in which each quota ends.
 """
 
 from __future__ import annotations
@@ -24,10 +26,14 @@ from tamarack.sources.tables import table
 KINDS = ("single", "cluster")
 #: Hash buckets of a cell's histogram; the last bucket that a quota touches holds about 1/BUCKETS of the cell.
 BUCKETS = 4096
+#: The units of a category are priced by how much of its target is drawn already, in steps of 1/STEPS of the target, beyond it of an eighth of what is drawn, up to MOST times it.
+STEPS, MOST = 16, 64
 #: Each unit that a slack arc carries costs more than any other way through the network.
 SLACK_COST = 1_000_000
+#: Plans are small: more targets than this are refused, as they go through the driver.
+MOST_TARGETS = 100_000
 QUOTA_SCHEMA = "plan_id long, category string, kind string, quota long"
-REPORT_SCHEMA = "plan_id long, category string, need double, need_units long, units long, drawn long, shortfall long"
+REPORT_SCHEMA = "plan_id long, category string, need double, need_units long, units long, drawn long, shortfall long, target_share double, achieved_share double"
 
 
 def units_of(records: DataFrame, id_col: str, category_col: str, cluster_col: str) -> DataFrame:
@@ -55,70 +61,93 @@ def _rounded(parts: dict[str, float], total: int, seed: tuple) -> dict[str, int]
     return out
 
 
+def _prices(floor: int, margin: int, total: int) -> list[tuple[int, int]]:
+    """(units, price) of the arcs by which a category is drawn: its floor is free, then the price rises with the part of the margin drawn."""
+    out, at, step = [(floor, 0)], floor, max(1, margin // STEPS)
+    while margin and at < min(total, MOST * margin):
+        after = min(at + step, margin) if at < margin else at + max(step, at // 8)
+        out.append((after - at, 1 + 1000 * at // margin))
+        at = after
+    return [*out, (total, 1 + 1000 * MOST)]
+
+
+def _flow(total: int, margin: dict[str, int], floors: dict[str, int], asked: dict[str, int], counts: dict[tuple[str, str], int]) -> tuple[dict[str, int], dict[str, int]]:
+    """(drawn, shortfall) by category of one plan.
+
+    The draw: ``total`` units go through the categories to the cells, each at the price of its part of the
+    margin, so what floors take and short categories leave over is spread in proportion. The test: what is
+    asked of a category goes to its cells' units, the rest over slack.
+    """
+    net, taken, slack = Flow(), {}, {}
+    net.arc("source", "plan", total, 0)
+    for c, m in margin.items():
+        taken[c] = [net.arc("plan", ("draw", c), n, price) for n, price in _prices(floors[c], m, total)]
+        net.arc("source", ("test", c), asked[c], 0)
+        slack[c] = net.arc(("test", c), "sink", asked[c], SLACK_COST)
+        for k in KINDS:
+            for use in ("draw", "test"):
+                net.arc((use, c), (use, c, k), counts.get((c, k), 0), 0)
+                net.arc((use, c, k), "sink", counts.get((c, k), 0), 0)
+    net.send("source", "sink", total + sum(asked.values()))
+    return {c: sum(map(net.used, taken[c])) for c in margin}, {c: net.used(slack[c]) for c in margin}
+
+
 def plan_quotas(targets: list[dict], counts: dict[tuple[str, str], int], seed: int = 42) -> tuple[list[tuple], list[tuple]]:
     """Quotas by plan and cell, and the report by plan and category.
 
-    ``targets``: dicts with plan_id, category, share, min_rows, sample_rows. ``counts``: units by
-    (category, kind). A category falls short where its units are fewer than the greater of
-    share x sample_rows, not rounded, and min_rows; then all its units are drawn and the shortfall
-    against the rounded-up need is reported.
+    ``targets``: dicts with plan_id, category, share, min_rows, sample_rows; shares of repeated targets of a
+    plan and category add up, of the other figures the greatest counts. ``counts``: units by (category, kind).
+    The rows drawn are sample_rows, or the share of them that the targets cover, or the sum of the floors where that is
+    more, as far as there are units. A category falls short where its units are fewer than the greater of share x
+    sample_rows, not rounded, and min_rows; the shortfall is counted against that need, rounded up.
     """
     quotas, report = [], []
     for plan in sorted({t["plan_id"] for t in targets}):
-        rows = sorted((t for t in targets if t["plan_id"] == plan), key=lambda t: t["category"])
-        need = {t["category"]: max(t["share"] * t["sample_rows"], float(t["min_rows"])) for t in rows}
-        margin = _rounded({t["category"]: t["share"] * t["sample_rows"] for t in rows}, max(t["sample_rows"] for t in rows), (seed, plan)) if sum(t["share"] for t in rows) > 0.999 else {c: math.floor(v) for c, v in need.items()}
-        floors = {t["category"]: int(t["min_rows"]) for t in rows}
-        net, cells, slack, asked = Flow(), {}, {}, {}
-        for c in need:
-            wanted = max(margin[c], floors[c])
-            asked[c] = max(wanted, math.ceil(need[c]))
-            have = {k: counts.get((c, k), 0) for k in KINDS}
-            units = sum(have.values())
-            net.arc("source", ("wanted", c), wanted, 0)
-            net.arc(("wanted", c), ("category", c), wanted, 0)
-            # the part of the need that rounding left out is only tested, in an arc of its own
-            net.arc("source", ("rest", c), asked[c] - wanted, 0)
-            net.arc(("rest", c), ("test", c), asked[c] - wanted, 0)
-            net.arc(("test", c), "sink", max(0, units - wanted), 0)
-            slack[c] = [net.arc(("category", c), "sink", wanted, SLACK_COST), net.arc(("test", c), "sink", asked[c], SLACK_COST)]
-            drawn = min(wanted, units)
-            even = _rounded({k: drawn * have[k] / max(1, units) for k in KINDS}, drawn, (seed, plan, c))
-            for k in KINDS:
-                inside = min(even[k], have[k])
-                cells[c, k] = [net.arc(("category", c), ("cell", c, k), inside, 0), net.arc(("category", c), ("cell", c, k), have[k] - inside, 1)]
-                net.arc(("cell", c, k), "sink", have[k], 0)
-        net.send("source", "sink", sum(asked.values()))
-        for c in need:
-            drawn = 0
-            for k in KINDS:
-                q = sum(net.used(a) for a in cells[c, k])
-                drawn += q
-                if q:
-                    quotas.append((plan, c, k, q))
-            units = sum(counts.get((c, k), 0) for k in KINDS)
-            report.append((plan, c, need[c], math.ceil(need[c]), units, drawn, sum(net.used(a) for a in slack[c])))
+        rows = [t for t in targets if t["plan_id"] == plan]
+        size = max(int(t["sample_rows"]) for t in rows)
+        names = sorted({t["category"] for t in rows})
+        share = {c: sum(float(t["share"]) for t in rows if t["category"] == c) for c in names}
+        floors = {c: max(int(t["min_rows"]) for t in rows if t["category"] == c) for c in names}
+        units = {c: sum(counts.get((c, k), 0) for k in KINDS) for c in names}
+        need = {c: max(share[c] * size, float(floors[c])) for c in names}
+        total = round(size * min(1.0, sum(share.values())))
+        margin = _rounded({c: share[c] * size for c in names}, total, (seed, plan))
+        kept = {c: min(floors[c], units[c]) for c in names}
+        drawn, short = _flow(max(total, sum(kept.values())), margin, kept, {c: math.ceil(need[c] - 1e-9) for c in names}, counts)
+        whole = sum(drawn.values())
+        for c in names:
+            cells = _rounded({k: drawn[c] * counts.get((c, k), 0) / max(1, units[c]) for k in KINDS}, drawn[c], (seed, plan, c))
+            quotas += [(plan, c, k, q) for k, q in cells.items() if q]
+            report.append((plan, c, need[c], math.ceil(need[c] - 1e-9), units[c], drawn[c], short[c], share[c], drawn[c] / whole if whole else 0.0))
     return quotas, report
 
 
 def solve(units: DataFrame, targets: DataFrame, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(quotas, report) of the targets; the driver gets one row per target and one per cell of a target's category."""
+    """(quotas, report) of the targets; the driver gets one row per target, at most MOST_TARGETS, and one per cell of a target's category."""
     spark = units.sparkSession
-    wanted = [r.asDict() for r in targets.collect()]
-    cells = units.join(F.broadcast(targets.select("category").distinct()), "category", "left_semi").groupBy("category", "kind").count()
+    wanted = [r.asDict() for r in targets.limit(MOST_TARGETS + 1).collect()]
+    if len(wanted) > MOST_TARGETS:
+        raise ValueError(f"more than {MOST_TARGETS} targets")
+    listed = spark.createDataFrame(sorted({(t["category"],) for t in wanted}), "category string")
+    cells = units.join(F.broadcast(listed), "category", "left_semi").groupBy("category", "kind").count()
     counts = {(r["category"], r["kind"]): r["count"] for r in cells.collect()}
     quotas, report = plan_quotas(wanted, counts, seed)
     return spark.createDataFrame(quotas, QUOTA_SCHEMA), spark.createDataFrame(report, REPORT_SCHEMA)
 
 
 def draw(units: DataFrame, quotas: DataFrame, seed: int = 42) -> DataFrame:
-    """Rows (plan_id, category, kind, id): for each quota that many units of its cell, by hash order."""
-    h = F.xxhash64(F.lit(seed), "plan_id", "unit")
-    candidates = units.join(F.broadcast(quotas), ["category", "kind"]).withColumn("h", h).withColumn("b", F.pmod(F.shiftright("h", 20), F.lit(BUCKETS)))
-    sizes = candidates.groupBy("plan_id", "category", "kind", "quota", "b").count()
-    before = F.coalesce(F.sum("count").over(W.partitionBy("plan_id", "category", "kind").orderBy("b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    edges = sizes.withColumn("before", before).filter(F.col("before") < F.col("quota")).select("plan_id", "category", "kind", "b", (F.col("quota") - F.col("before")).alias("room"), (F.col("quota") - F.col("before") < F.col("count")).alias("partial"))
-    inside = candidates.join(edges, ["plan_id", "category", "kind", "b"])
+    """Rows (plan_id, category, kind, id): for each quota that many units of its cell, by hash order.
+
+    Units are counted once by cell and bucket; each plan goes through the buckets from a place of its own.
+    ``quotas`` comes from ``solve``, which bounds its rows.
+    """
+    placed = units.withColumn("h", F.xxhash64(F.lit(seed), "unit")).withColumn("b", F.pmod(F.shiftright("h", 20), F.lit(BUCKETS)))
+    sizes = placed.groupBy("category", "kind", "b").count()
+    turn = F.pmod(F.col("b") + F.xxhash64(F.lit(seed), "plan_id"), F.lit(BUCKETS))
+    turned = sizes.join(F.broadcast(quotas), ["category", "kind"]).withColumn("place", turn)
+    before = F.coalesce(F.sum("count").over(W.partitionBy("plan_id", "category", "kind").orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    edges = turned.withColumn("before", before).filter(F.col("before") < F.col("quota")).select("plan_id", "category", "kind", "b", (F.col("quota") - F.col("before")).alias("room"), (F.col("quota") - F.col("before") < F.col("count")).alias("partial"))
+    inside = placed.join(edges, ["category", "kind", "b"])
     whole = inside.filter("not partial")
     last = inside.filter("partial").withColumn("rn", F.row_number().over(W.partitionBy("plan_id", "category", "kind", "b").orderBy("h", "unit"))).filter("rn <= room").drop("rn")
     return whole.unionByName(last).select("plan_id", "category", "kind", "id")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
-from itertools import combinations
+from itertools import combinations, product
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,11 +94,45 @@ def test_quotas_report_and_draw(spark):
     targets = spark.createDataFrame([(1, "big_topic", 0.75, 0, 40), (1, "small", 0.25, 0, 40), (2, "big_topic", 1.0, 66, 10), (2, "absent", 0.0, 0, 10), (3, "small", 0.1001, 0, 40)], "plan_id long, category string, share double, min_rows long, sample_rows long")
     quotas, report = quota_sample.solve(units, targets)
     got = {(r["plan_id"], r["category"]): (r["drawn"], r["shortfall"]) for r in report.collect()}
-    assert got == {(1, "big_topic"): (30, 0), (1, "small"): (4, 6), (2, "big_topic"): (65, 1), (2, "absent"): (0, 0), (3, "small"): (4, 1)}
+    # what a short category leaves over goes to the others, so plan 1 still draws its 40 rows
+    assert got == {(1, "big_topic"): (36, 0), (1, "small"): (4, 6), (2, "big_topic"): (65, 1), (2, "absent"): (0, 0), (3, "small"): (4, 1)}
     drawn = quota_sample.draw(units, quotas).collect()
     assert len(drawn) == len({(r["plan_id"], r["id"]) for r in drawn}) == sum(d for d, _ in got.values())
 
 
+def _best(total, floors, targets, units):
+    """The least sum of squared distances from the targets, each in shares of its target, over all draws of ``total``."""
+    ranges = [range(f, u + 1) for f, u in zip(floors, units, strict=True)]
+    found = [d for d in product(*ranges) if sum(d) == total]
+    return min(found, key=lambda d: sum((x - t) ** 2 / max(t, 1) for x, t in zip(d, targets, strict=True)), default=None)
+
+
+def test_quotas_keep_total_floors_and_shares():
+    rng = random.Random(4)
+    for _ in range(60):
+        shares = [rng.random() for _ in range(3)]
+        shares = [x / sum(shares) for x in shares]
+        size, floors, units = rng.randint(5, 30), [rng.choice([0, 0, 2, 6]) for _ in range(3)], [rng.randint(0, 30) for _ in range(3)]
+        targets = [{"plan_id": 1, "category": c, "share": s, "min_rows": f, "sample_rows": size} for c, s, f in zip("abc", shares, floors, strict=True)]
+        quotas, report = quota_sample.plan_quotas(targets, {(c, k): u // 2 + (u % 2) * (k == "single") for c, u in zip("abc", units, strict=True) for k in quota_sample.KINDS})
+        drawn = [r[5] for r in report]
+        kept = [min(f, u) for f, u in zip(floors, units, strict=True)]
+        assert all(k <= d <= u for k, d, u in zip(kept, drawn, units, strict=True))
+        assert sum(drawn) == min(max(size, sum(kept)), sum(units)) == sum(q[3] for q in quotas)
+        assert [r[6] for r in report] == [max(0, math.ceil(max(s * size, f) - 1e-9) - u) for s, f, u in zip(shares, floors, units, strict=True)]
+        best = _best(sum(drawn), kept, [s * size for s in shares], units)
+        assert all(abs(x - y) <= max(2, 0.2 * y) for x, y in zip(drawn, best, strict=True)), (drawn, best)
+        assert abs(sum(r[8] for r in report) - (1 if sum(drawn) else 0)) < 1e-9
+
+
+def test_floor_that_binds_takes_from_the_others():
+    targets = [{"plan_id": 1, "category": c, "share": s, "min_rows": f, "sample_rows": 100} for c, s, f in (("a", 0.9, 0), ("b", 0.1, 50))]
+    _, report = quota_sample.plan_quotas(targets, {(c, "single"): 1000 for c in "ab"})
+    assert [(r[5], r[6]) for r in report] == [(50, 0), (50, 0)]
+    doubled, _ = quota_sample.plan_quotas([{"plan_id": 1, "category": "a", "share": 0.5, "min_rows": m, "sample_rows": 10} for m in (0, 3)], {("a", "single"): 50})
+    assert doubled == [(1, "a", "single", 10)]
+
+
 def test_quotas_of_nothing(spark):
     units = quota_sample.units_of(_records(spark, ROWS).limit(0), "doc_id", "topic_seed", "near_dup_cluster")
     targets = spark.createDataFrame([(1, "t", 1.0, 0, 5)], "plan_id long, category string, share double, min_rows long, sample_rows long")
