@@ -38,12 +38,16 @@ LABEL_FORMS = {
 }
 #: Labelled rows used for training, per label.
 ROWS_PER_LABEL = 400
+#: So many times as many labelled texts are looked at.
+SPARE = 4
 #: Of a labelled text, the longest line of its first so many characters is trained on.
 TRAINING_CHARS = 4000
 FEATURES = 1 << 14
 LONGEST_GRAM = 4
 EPOCHS, BATCH = 6, 32
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.02
+#: Confidences are calibrated on held-out lines cut to these lengths, as lines to be labelled are of any length.
+PIECE_CHARS = (20, 40, 80, 160, 1 << 30)
 #: How far a line's own language must lead the record's main one to count, as a difference of the model's scores before calibration:
 #: by all words, and by its lower-case words, which names are not among; not so where a language writes all nouns with capitals.
 LINE_MARGIN, PLAIN_MARGIN, CAPITAL_NOUNS = 1.4, 0.35, ("de",)
@@ -148,7 +152,7 @@ def _leader(x: np.ndarray, y: np.ndarray, use: np.ndarray, classes: int) -> np.n
             step = (np.sqrt(n + g * g) - np.sqrt(n)) / ALPHA
             z += g - step * w
             n += g * g
-            l1 = np.full((rows, 1), L1 * 0.01, dtype=np.float32)
+            l1 = np.full((rows, 1), L1, dtype=np.float32)
             l1[-1] = 0
             w = np.where(np.abs(z) <= l1, 0, (np.sign(z) * l1 - z) / ((BETA + np.sqrt(n)) / ALPHA + L2)).astype(np.float32)
     return w
@@ -182,18 +186,25 @@ def train(rows: list[tuple[str, str]]) -> Model:
         clean[own] = p[np.arange(len(own)), y[own]] > 0.5 * p.max(axis=1)
     fit, test = rows_[clean & ~held], rows_[clean & held]
     w = _leader(x, y, fit, len(LANGUAGES)) if len(fit) else w
-    return Model(w, idf, _temperature(x[test] @ w[:-1] + w[-1], y[test]) if len(test) else 1.0)
+    if not len(test):
+        return Model(w, idf)
+    pieces = [_vectors([texts[k][:n] for k in test]) * idf @ w[:-1] + w[-1] for n in PIECE_CHARS]
+    return Model(w, idf, _temperature(np.concatenate(pieces), np.tile(y[test], len(pieces))))
 
 
 def training_rows(records: DataFrame, text: str, code: str, per_label: int = ROWS_PER_LABEL) -> list[tuple[str, str]]:
-    """At most ``per_label`` distinct texts of each label, chosen by hash and cut to TRAINING_CHARS; never more than languages x per_label rows reach the driver."""
-    labelled = records.filter(F.col(code).isin(*LANGUAGES) & (F.length(F.col(text)) >= 40))
-    u = hash_unit(F.col(text))
-    counts = labelled.select(code, u.alias("u")).distinct().groupBy(code).count().collect()
+    """At most ``per_label`` distinct texts of each label, chosen by hash and cut to TRAINING_CHARS; never more than languages x per_label rows reach the driver.
+
+    Labels are counted without a look at the texts; of each, the texts below a bound on the hash are read, SPARE times as many as
+    needed, since copies count once and short texts not at all.
+    """
+    named = records.filter(F.col(code).isin(*LANGUAGES))
+    counts = named.groupBy(code).count().collect()
     share = F.lit(0.0)
     for r in counts:
-        share = F.when(F.col(code) == r[code], F.lit(min(1.0, 1.5 * per_label / r["count"]))).otherwise(share)
-    near = labelled.filter(u < share).select(F.substring(F.col(text), 1, TRAINING_CHARS).alias("t"), F.col(code).alias("c"), u.alias("u")).distinct()
+        share = F.when(F.col(code) == r[code], F.lit(min(1.0, SPARE * per_label / r["count"]))).otherwise(share)
+    u = hash_unit(F.col(text))
+    near = named.filter((F.length(F.col(text)) >= 40) & (u < share)).select(F.substring(F.col(text), 1, TRAINING_CHARS).alias("t"), F.col(code).alias("c"), u.alias("u")).distinct()
     kept = near.withColumn("rn", F.row_number().over(W.partitionBy("c").orderBy("u", "t"))).filter(F.col("rn") <= per_label)
     return [(r["t"], r["c"]) for r in kept.orderBy("u", "t", "c").select("t", "c").collect()]
 
