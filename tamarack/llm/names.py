@@ -5,7 +5,7 @@ brackets go, abbreviations and nicknames are written out, rare words are correct
 slip of the keys away, and parts are put in one order. A full name's forms are its canonical key and
 the shorter rewritings it could be typed as (initial for the given name, no type word, acronym).
 Names meet by equi-joins on forms; where several entities offer a shorter form, it goes to the one
-whose spellings outnumber those of all others by far, which is its score, and else to none.
+whose spellings outnumber those of all others by far, and else to none; its score is the rarity of that rewriting.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tamarack.functions.basic import nonblank
 from tamarack.llm.pii import GIVEN_NAMES
 from tamarack.plans.lineage import cut
-from tamarack.plans.skew import lookup_join
+from tamarack.plans.skew import lookup_join, split_join
 from tamarack.sources.tables import table
 
 # Written-out forms of abbreviations in names of organisations.
@@ -163,6 +163,9 @@ def rewritings(name: str, words: list[str]) -> tuple[str, list[str], list[str]]:
     bare = [ABBREVIATIONS.get(w.lstrip("-"), w.lstrip("-")).rstrip("'") for w in words]
     kept = [(w, raw.startswith("-")) for w, raw in zip(bare, words, strict=True) if w not in LEGAL and w not in TITLES and w not in SMALL]
     tokens = [w for w, _ in kept]
+    if not tokens:
+        # nothing to compare by, so the name stands for itself
+        return f"itself|{name}", [], []
     types = [w for w in tokens if w in TYPE_WORDS]
     given = [w for w in tokens if w in _GIVEN or w in NICKNAMES]
     long = [w for w in tokens if len(w) > 1]
@@ -182,7 +185,9 @@ def rewritings(name: str, words: list[str]) -> tuple[str, list[str], list[str]]:
             form = f"initial|{letters[0]}|{'|'.join(sorted(long))}"
             return form, [], [form]
         form = "untyped|" + "|".join(sorted(tokens))
-        return form, [], [form]
+        # a person's name whose given name no list holds: either end may be the given name
+        ends = {0, len(tokens) - 1} if 2 <= len(tokens) <= 3 and len(long) == len(tokens) and not any(w.isdigit() for w in tokens) else ()
+        return form, [f"initial|{tokens[k][0]}|{'|'.join(sorted(tokens[:k] + tokens[k + 1 :]))}" for k in sorted(ends)], [form]
     tokens = [COMPASS.get(w, w) for w in tokens]
     kept = [(COMPASS.get(w, w), joined) for w, joined in kept]
     key = "org|" + "|".join(sorted(tokens))
@@ -204,8 +209,10 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def link_names(names: DataFrame, col: str) -> DataFrame:
-    """Rows (name, entity) of the distinct names; all spellings of one entity share its value, the smallest of them.
+    """Rows (name, entity, score) of the distinct names; all spellings of one entity share its value, the smallest of them.
 
+    score is 1 for a name linked by its canonical key. A short form's score says how rare the rewriting is that links it: the share of the
+    entity's spellings among all spellings that can be rewritten to it, 0 where no entity has a clear lead and the name stays alone.
     Null, empty and blank names are left out, repeated ones count once, names that differ only in what
     no rule covers stay apart, other columns are ignored and an empty table gives an empty result.
     """
@@ -220,23 +227,24 @@ def link_names(names: DataFrame, col: str) -> DataFrame:
     all_words = distinct.join(grouped, "name", "left").select("name", F.coalesce("words", F.array().cast("array<string>")).alias("words"))
     forms = cut(all_words.mapInArrow(_forms, "name string, key string, offers array<string>, wants array<string>"))
     full = forms.filter("size(wants) = 0")
-    offered = full.select("key", F.explode("offers").alias("form")).union(full.filter("key like 'person|%'").select("key", F.col("key").alias("form")))
+    offered = forms.select("key", F.explode("offers").alias("form")).union(full.filter("key like 'person|%'").select("key", F.col("key").alias("form")))
     scored = offered.groupBy("form", "key").agg(F.count("*").alias("n"))
     clear = scored.groupBy("form").agg(F.max(F.struct("n", "key")).alias("b"), F.sum("n").alias("total")).filter(F.col("b.n") >= CLEAR * (F.col("total") - F.col("b.n")))
     wanted = forms.filter("size(wants) > 0").select("name", "key", F.explode("wants").alias("form"))
     candidates = wanted.join(clear.select("form", F.col("b.key").alias("full"), F.col("b.n").alias("n")), "form", "left")
     found = candidates.groupBy("name").agg(F.min("key").alias("key"), F.max(F.when(F.col("full").isNotNull(), F.struct("n", "full"))).alias("b"), F.sum("n").alias("total"), F.min("full").alias("least"), F.max("full").alias("most"))
     one = (F.col("least") == F.col("most")) | (F.col("b.n") >= CLEAR * (F.col("total") - F.col("b.n")))
-    short = found.select("name", F.when(one, F.col("b.full")).otherwise(F.col("key")).alias("key"))
-    keyed = cut(full.select("name", "key").union(short))
+    score = F.when(one, F.col("b.n") / F.greatest("total", F.col("b.n"))).otherwise(F.lit(0.0))
+    short = found.select("name", F.when(one, F.col("b.full")).otherwise(F.col("key")).alias("key"), score.alias("score"))
+    keyed = cut(full.select("name", "key", F.lit(1.0).alias("score")).union(short))
     heads = keyed.groupBy("key").agg(F.min("name").alias("entity"))
-    return keyed.join(heads, "key").select("name", "entity")
+    return keyed.join(heads, "key").select("name", "entity", "score")
 
 
 def linked_pairs(linked: DataFrame) -> DataFrame:
-    """All pairs of names of an entity, the smaller first."""
+    """All pairs of names of an entity, the smaller first; entities of very many spellings are dealt out."""
     a, b = linked.select("entity", F.col("name").alias("name_a")), linked.select("entity", F.col("name").alias("name_b"))
-    return a.join(b, "entity").filter("name_a < name_b").select("name_a", "name_b")
+    return split_join(a, b, "entity", linked.count(), F.col("name_a")).filter("name_a < name_b").select("name_a", "name_b")
 
 
 def all_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,10 +255,10 @@ def all_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return linked_pairs(link_names(all_names(spark, sf), "name"))
+    return linked_pairs(cut(link_names(all_names(spark, sf), "name").select("name", "entity")))
 
 
 def p3_entities(spark: SparkSession, sf: str) -> DataFrame:
-    """Each distinct name with its entity and the number of spellings of it."""
+    """Each distinct name with its entity, the score of the link and the number of spellings of the entity."""
     linked = link_names(all_names(spark, sf), "name")
     return linked.withColumn("n_spellings", F.count("*").over(W.partitionBy("entity")))

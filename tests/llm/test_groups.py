@@ -244,3 +244,12 @@ def test_short_names_go_to_the_clear_winner(spark):
     # without a clear winner the short form stays alone
     got = entities([many[0], many[1], other, "ORSN"])
     assert got["ORSN"] == "ORSN" and got[many[0]] == got[many[1]] != got[other]
+
+
+def test_given_names_outside_all_lists_and_names_without_words(spark):
+    rows = ["Kwame Owusu", "K. Owusu", "Owusu, Kwame", "Tane Rangihau", "Tui Rangihau", "T. Rangihau", "The", "Inc.", "???", "---"]
+    got = {r["name"]: (r["entity"], r["score"]) for r in names.link_names(spark.createDataFrame([(n,) for n in rows], "org string"), "org").collect()}
+    assert {got[n][0] for n in rows[:3]} == {"K. Owusu"} and got["K. Owusu"][1] == 1
+    # two people offer the initial, and none has a clear lead
+    assert got["T. Rangihau"] == ("T. Rangihau", 0)
+    assert all(got[n][0] == n for n in rows[3:])
