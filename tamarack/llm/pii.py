@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
@@ -74,8 +75,12 @@ _POINT_WORDS = ("point", "punto", "ponto", "poınt", "poi̇nt")
 
 _EMAIL = re.compile(r"(?<![\w.+-])[\w+%'-]+(?:\.[\w+%'-]+)*@[\w-]+(?:\.[\w-]+)+")
 _PHONE = re.compile(r"(?<![\w/.+-])(?:\+?1[\s.-]{0,2})?(?:\([2-9]\d\d\)|[2-9]\d\d)[\s./-]{0,2}[2-9]\d\d[\s./-]?\d{4}(?![\w]|-\d)")
+# With another country's code: digits in groups, eight to fifteen with the code.
+_ABROAD = re.compile(r"(?<![\w/.+-])\+(?!1\D)[2-9]\d{0,2}(?:[\s./-]{0,2}\(?\d{1,4}\)?){2,6}(?![\w]|-\d)")
+# Social security numbers in three groups, which files are numbered by too and so need a cue; numbers of payment cards in four.
+_GROUPED = re.compile(r"(?<![\w-])(?:(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}|[2-6]\d{3}(?P<g>[\s-])\d{4}(?P=g)\d{4}(?P=g)\d{4})(?![\w]|-\d)")
 _ID = re.compile(r"(?<![\w-])(?:\d{4}[\s-]?\d{3}[\s-]?\d{3}[\s-]?[A-Z]{2}|[A-Z]{2}[\s-]?\d{6}|\d{3}(?P<s>[\s-]?)\d{3}(?P=s)\d{3})(?![\w]|-\d)")
-_ID_CUE = re.compile(r"(?:\bSIN\b|\bNAS\b|\bID\b|social insurance|assurance sociale|health card|assurance maladie|carte santé|passport|passeport|permit|permis|identit|licen[cs]e)(?:\s+no\.)?[^.;|\d]{0,40}$", re.I)
+_ID_CUE = re.compile(r"(?:\bSIN\b|\bSSN\b|\bNAS\b|\bID\b|social insurance|social security|assurance sociale|health card|assurance maladie|carte santé|passport|passeport|permit|permis|identit|licen[cs]e)(?:\s+no\.)?[^.;|\d]{0,40}$", re.I)
 _NO_ID_CUE = re.compile(r"(?:grant|file|dossier|subvention|invoice|facture|order|case|bill|projet de loi)(?:\s+(?:no|number|numéro)\.?)?\s*[:#]?\s*$", re.I)
 _CAP = r"[A-ZÀ-ÖØ-Þ]"
 _WORD = rf"{_CAP}[\w'-]+"
@@ -85,6 +90,14 @@ _KINDS = r"(?i:Street|Avenue|Ave|Road|Crescent|Cres|Lane|Drive(?!\s+for\s)|Boule
 _ENGLISH = re.compile(rf"(?<![\w-])\d+[A-Z]?(?:-\d+)?\s+(?:{_WORD}\s+){{1,3}}?(?:{_KINDS}){_DIRECTION}{_UNIT}")
 _VOIES = r"(?i:rue|avenue|av\.|boul\.|boulevard|chemin|ch\.|place|rang|allée|côte|promenade|route|impasse|ruelle)"
 _FRENCH = re.compile(rf"(?<![\w-])\d+(?:-\d+)?,?\s+{_VOIES}\s+(?i:(?:des|de\s+la|de\s+l'|du|de|d'|la|le|les|l')\s*)?{_WORD}{_DIRECTION}{_UNIT}")
+# Streets of other languages: the number follows the street.
+_STREET_FIRST = (
+    re.compile(rf"(?<![\w-])(?:{_CAP}[\w-]*(?:straße|strasse|str\.|gasse|allee|platz|damm|ufer)|(?:{_CAP}\w+er\s)(?:Straße|Allee|Platz|Weg))\s+\d+\s?[a-z]?(?:-\d+)?(?!\w)"),
+    re.compile(rf"(?<![\w-])(?:Calle|Avenida|Av\.|Avda\.|Paseo|Plaza|Carrera|Rua|Travessa|Praça|Alameda|Largo)\s+(?:(?:de\s+la|de\s+los|de|del|do|da|dos|das|la|el|los|las)\s+)*{_CAP}[\w'-]+(?:\s+(?:(?:de|del|da|do|dos|das|e|y)\s+)?{_CAP}[\w'-]+){{0,3}},?\s+(?:n\.?[ºo°]\s*)?\d+\w?(?!\w)"),
+    re.compile(r"(?<![\w-])(?:вул\.|вулиця|просп\.|проспект|бульвар|пров\.|провулок|площа)\s+[А-ЯҐЄІЇ][\w'’-]+(?:\s+[А-ЯҐЄІЇ][\w'’-]+){0,2},?\s+(?:буд\.\s*)?\d+\w?(?:,\s*кв\.\s*\d+)?(?!\w)"),
+    re.compile(r"[\u4e00-\u9fff]{2,8}(?:路|街|大道|巷|弄)\d+号(?:\d+(?:室|楼|单元))*"),
+)
+_NUMBER_AFTER = re.compile(r"(?i:stra(?:ß|ss)e|str\.|gasse|allee|platz|damm|ufer|weg|calle|avenida|av\.|avda\.|paseo|plaza|carrera|rua|travessa|praça|alameda|largo|вул|просп|бульвар|пров|площа|号)")
 _NAME = re.compile(rf"(?<![\w'-])(?:(?P<given>{_CAP}[\w'-]*\w)|(?P<initial>{_CAP})\.)(?P<middle>\s+{_CAP}\.)?\s+(?P<family>{_CAP}[\w'-]*\w)")
 _NAME_CUE = re.compile(r"(?:\bmy name is|\bje m'appelle|\bcontact person\s*:|\bpersonne-ressource\s*:|\bsigned,?|\bsigné,?|\bneighbour|\bvoisine?|\b(?:Mr|Mrs|Ms|Mx|Dr|Dre|Mme|Prof)\.?)\s+$", re.I)
 _COUNTED = re.compile(r"\s*(?:de\s+)?(?:dollar|%|per\b|pour\b|people|person|million|\$)", re.I)
@@ -196,6 +209,13 @@ def find_items(source: str) -> list[tuple[str, int, int]]:
         found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(t)]
     for m in _PHONE.finditer(t):
         found.append((m.start(), m.end(), "phone"))
+    if "+" in t:
+        found += [(m.start(), m.end(), "phone") for m in _ABROAD.finditer(t) if 8 <= sum(map(str.isdigit, m[0])) <= 15]
+    for m in _GROUPED.finditer(t):
+        digits = re.sub(r"\D", "", m[0])
+        before = t[max(0, m.start() - 60) : m.start()]
+        if not _NO_ID_CUE.search(before) and (_luhn(digits) if len(digits) == 16 else _ID_CUE.search(before)):
+            found.append((m.start(), m.end(), "id_number"))
     for m in _ID.finditer(t):
         digits = re.sub(r"\D", "", m[0])
         before = t[max(0, m.start() - 60) : m.start()]
@@ -204,13 +224,17 @@ def find_items(source: str) -> list[tuple[str, int, int]]:
     for pattern in (_FRENCH, _ENGLISH):
         for m in pattern.finditer(t):
             found.append((m.start(), m.end(), "address"))
+    if _NUMBER_AFTER.search(t):
+        for pattern in _STREET_FIRST:
+            found += [(m.start(), m.end(), "address") for m in pattern.finditer(t)]
     found += [(a, b, "person") for a, b in _names(t)]
     rank = {"email": 0, "phone": 1, "id_number": 2, "address": 3, "person": 4}
     kept: list[tuple[int, int, str]] = []
     for a, b, kind in sorted(found, key=lambda f: (rank[f[2]], f[0], -f[1])):
-        if all(b <= x or a >= y for x, y, _ in kept):
-            kept.append((a, b, kind))
-    return [(kind, *tape.span(a, b)) for a, b, kind in sorted(kept)]
+        k = bisect_left(kept, (a, b, kind))
+        if (k == len(kept) or kept[k][0] >= b) and (k == 0 or kept[k - 1][1] <= a):
+            kept.insert(k, (a, b, kind))
+    return [(kind, *tape.span(a, b)) for a, b, kind in kept]
 
 
 def masked(source: str, items: list[tuple[str, int, int]]) -> str:
@@ -254,5 +278,5 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_masked(spark: SparkSession, sf: str) -> DataFrame:
-    """Every record's text with placeholders."""
-    return _both(spark, sf).select("tbl", "doc_id", F.col("masked").alias("masked_text"))
+    """Every record's text with placeholders; repeated rows come out once."""
+    return _both(spark, sf).select("tbl", "doc_id", F.col("masked").alias("masked_text")).distinct()
