@@ -28,8 +28,8 @@ from tamarack.sources.tables import text_table
 DEFAULT_TOKENIZERS = "/opt/tokenizers"
 # The split pattern that the byte-level vocabularies of this family are defined with.
 SPLIT_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces kept per worker; the store is emptied when full, so memory stays bounded.
-KEPT_PIECES = 400_000
+#: Pieces kept per worker, and answers about neighbouring tokens; a store is emptied when full, so memory stays bounded.
+KEPT_PIECES, KEPT_PAIRS = 400_000, 1_000_000
 
 
 def _byte_chars() -> dict[str, int]:
@@ -54,10 +54,14 @@ class ByteBPE(dict):
 
     def __init__(self, path: str) -> None:
         super().__init__()
-        data = json.loads(Path(path).read_text(encoding="utf-8"))["model"]
+        whole = json.loads(Path(path).read_text(encoding="utf-8"))
+        data, before = whole["model"], whole.get("pre_tokenizer") or {}
+        if data.get("type", "BPE") != "BPE" or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or whole.get("normalizer"):
+            raise ValueError(f"{path} is no byte-level vocabulary that encodes texts as they stand")
+        special = {t["id"] for t in whole.get("added_tokens", ()) if t["special"]}
         chars = _byte_chars()
         to_latin = str.maketrans({k: chr(b) for k, b in chars.items()})
-        ids = {t.translate(to_latin): i for t, i in data["vocab"].items() if all(c in chars for c in t)}
+        ids = {t.translate(to_latin): i for t, i in data["vocab"].items() if i not in special and all(c in chars for c in t)}
         # parts: for each id the two ids it is merged from, itself twice for a byte. rank: the place of the merge that makes it.
         self.parts: dict[int, tuple[int, int]] = {i: (i, i) for i in ids.values()}
         self.merged: dict[tuple[int, int], int] = {}
@@ -65,13 +69,12 @@ class ByteBPE(dict):
         for n, merge in enumerate(data["merges"]):
             a, b = (merge.split(" ") if isinstance(merge, str) else merge)
             left, right = ids[a.translate(to_latin)], ids[b.translate(to_latin)]
-            whole = ids[(a + b).translate(to_latin)]
-            self.parts[whole], self.merged[left, right], self.rank[whole] = (left, right), whole, n
+            joined = ids[(a + b).translate(to_latin)]
+            self.parts[joined], self.merged[left, right], self.rank[joined] = (left, right), joined, n
         self.ids = ids
         self.trie = ahocorasick.Automaton()
         for t, i in ids.items():
-            if i < 50256 or i in self.rank:
-                self.trie.add_word(t, (len(t), i))
+            self.trie.add_word(t, (len(t), i))
         self.trie.make_automaton()
         self.text_of = {i: t for t, i in ids.items()}
         self.shorter: dict[int, tuple[int, int] | None] = {}
@@ -102,6 +105,8 @@ class ByteBPE(dict):
                 left, undone = parts[left][1], rl
             else:
                 right, undone = parts[right][0], rr + 1
+        if len(self.fits) >= KEPT_PAIRS:
+            self.fits.clear()
         self.fits[a, b] = ok
         return ok
 
@@ -177,7 +182,7 @@ def _split() -> regex.Pattern:
 
 @cache
 def load(path: str) -> ByteBPE:
-    """The tokenizer of a vocabulary file, once per worker."""
+    """The tokenizer of a byte-level vocabulary file, once per worker; other kinds of vocabulary are refused."""
     return ByteBPE(path)
 
 
@@ -189,8 +194,8 @@ def encode_column(df: DataFrame, id_col: str, text_col: str, tokenizer_name: str
     """Rows (id, ids): the whole text of every row in token ids, in one narrow pass over Arrow batches.
 
     Null and empty texts give an empty list, marker strings are plain text, repeated rows each keep
-    their row and other columns are ignored. Each worker holds one vocabulary (about 60 MB) and at
-    most KEPT_PIECES encoded pieces.
+    their row and other columns are ignored. Each worker holds one vocabulary (about 60 MB), at
+    most KEPT_PIECES encoded pieces and KEPT_PAIRS answers about neighbours.
     """
     path = vocabulary_path(tokenizer_name, folder)
     source = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))

@@ -32,10 +32,18 @@ def test_bpe_is_exact(judge):
 
 def test_bpe_store_stays_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "KEPT_PIECES", 50)
+    monkeypatch.setattr(bpe, "KEPT_PAIRS", 70)
     own = bpe.ByteBPE(PATH)
+    rng = random.Random(2)
     for k in range(500):
-        own.encode(f"word{k}")
-    assert len(own) <= 51
+        own.encode(f"word{k} " + "".join(rng.choice("abcdefgxyz") for _ in range(12)))
+    assert len(own) <= 51 and len(own.fits) <= 70
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k", "none"])
+def test_other_vocabularies_are_refused(name):
+    with pytest.raises((ValueError, OSError)):
+        bpe.ByteBPE(bpe.vocabulary_path(name))
 
 
 def test_encode_column(spark, judge):
