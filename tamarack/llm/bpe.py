@@ -9,10 +9,11 @@ each other after the merges; whether a pair can is memoised. The result is the m
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import chain
 from pathlib import Path
@@ -190,6 +191,34 @@ def vocabulary_path(tokenizer_name: str, folder: str = DEFAULT_TOKENIZERS) -> st
     return f"{folder}/{tokenizer_name}.json"
 
 
+@cache
+def token_counter(tokenizer_name: str, folder: str = DEFAULT_TOKENIZERS) -> Callable[[str], int]:
+    """How many ids a text has by any tokenizer of the folder, special tokens left out; the library of its kind counts what is no byte-level JSON vocabulary."""
+    path = Path(vocabulary_path(tokenizer_name, folder))
+    if path.exists():
+        try:
+            own = load(str(path))
+            return lambda text: sum(map(len, map(own.__getitem__, own.pieces(text))))
+        except ValueError:
+            from tokenizers import Tokenizer
+
+            other = Tokenizer.from_file(str(path))
+            other.encode_special_tokens = True
+            return lambda text: len(other.encode(text, add_special_tokens=False).ids)
+    if (ranks := path.with_suffix(".tiktoken")).exists():
+        import tiktoken
+
+        pairs = (line.split() for line in ranks.read_bytes().splitlines() if line)
+        known = tiktoken.Encoding("own", pat_str=SPLIT_PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
+        return lambda text: len(known.encode_ordinary(text))
+    if (pieces := path.with_suffix(".model")).exists():
+        import sentencepiece
+
+        processor = sentencepiece.SentencePieceProcessor(model_file=str(pieces))
+        return lambda text: len(processor.encode(text))
+    raise ValueError(f"no vocabulary of {tokenizer_name} in {folder}")
+
+
 def encode_column(df: DataFrame, id_col: str, text_col: str, tokenizer_name: str = "byte_bpe_50k", folder: str = DEFAULT_TOKENIZERS) -> DataFrame:
     """Rows (id, ids): the whole text of every row in token ids, in one narrow pass over Arrow batches.
 

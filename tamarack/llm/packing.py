@@ -17,12 +17,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarack.llm.bpe import DEFAULT_TOKENIZERS, load, vocabulary_path
+from tamarack.llm.bpe import DEFAULT_TOKENIZERS, token_counter
 from tamarack.plans.lineage import cut
 from tamarack.sources.tables import table, text_table
 
 #: Windows a plan keeps open in a partition.
 OPEN_WINDOWS = 64
+#: Plans that can be packed at once.
+MOST_PLANS = 1000
 #: Tasks whose leftovers one task of the next round merges.
 FAN_IN = 64
 
@@ -63,13 +65,13 @@ def _pack_partition(plans: list[tuple[int, str, int]], folder: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encoders = {name: load(vocabulary_path(name, folder)) for name in {p[1] for p in plans}}
+        counters = {name: token_counter(name, folder) for name in {p[1] for p in plans}}
         open_ = {plan: Windows(capacity, f"{plan}-0-{part}") for plan, _, capacity in plans}
         schema = pa.schema([("kind", pa.int32()), ("plan_id", pa.int64()), ("doc_id", pa.int64()), ("piece_no", pa.int32()), ("first_token", pa.int64()), ("n_tokens", pa.int64()), ("window_id", pa.string())])
         for batch in batches:
             cols: list[list] = [[] for _ in range(7)]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sizes = {name: sum(map(len, map(e.__getitem__, e.pieces(text)))) if text else 0 for name, e in encoders.items()}
+                sizes = {name: count(text) if text else 0 for name, count in counters.items()}
                 for plan, name, capacity in plans:
                     size, first, piece = sizes[name], 0, 0
                     while True:
@@ -140,8 +142,10 @@ def pack(docs: DataFrame, plans: list[tuple[int, str, int]], id_col: str = "doc_
 
 
 def _plans(spark: SparkSession, sf: str) -> list[tuple[int, str, int]]:
-    """The plans, a table of fixed size."""
-    rows = table(spark, sf, "pack_plan").dropna().distinct().orderBy("plan_id").collect()
+    """The plans, a table of fixed size; more than MOST_PLANS are refused, as every task holds windows of each."""
+    rows = table(spark, sf, "pack_plan").dropna().distinct().orderBy("plan_id").limit(MOST_PLANS + 1).collect()
+    if len(rows) > MOST_PLANS:
+        raise ValueError(f"more than {MOST_PLANS} plans")
     return [(r["plan_id"], r["tokenizer_name"], r["capacity_tokens"]) for r in rows]
 
 

@@ -52,6 +52,20 @@ def test_encode_column(spark, judge):
     assert sorted((r["doc_id"] or 0, list(r["ids"])) for r in got) == [(0, judge.encode("été").ids), (1, judge.encode("Hello world").ids), (2, []), (3, []), (3, [])]
 
 
+def test_sizes_by_other_tokenizers(judge):
+    import sentencepiece
+
+    text = "Hello <|endoftext|> l'été, 12 words\n and  more"
+    other = Tokenizer.from_file(bpe.vocabulary_path("word_bpe_49k"))
+    other.encode_special_tokens = True
+    assert bpe.token_counter("byte_bpe_50k")(text) == len(judge.encode(text).ids)
+    assert bpe.token_counter("word_bpe_49k")(text) == len(other.encode(text, add_special_tokens=False).ids)
+    assert bpe.token_counter("piece_bpe_32k")(text) == len(sentencepiece.SentencePieceProcessor(model_file=f"{bpe.DEFAULT_TOKENIZERS}/piece_bpe_32k.model").encode(text))
+    assert bpe.token_counter("byte_bpe_multi_50k")(text) > 5
+    with pytest.raises(ValueError):
+        bpe.token_counter("none")
+
+
 def _pack(spark, texts, plans, parts=3):
     df = spark.createDataFrame([(k, t, "clash") for k, t in enumerate(texts)], "doc_id long, text string, window_id string").repartition(parts)
     return packing.pack(df, plans).collect()
