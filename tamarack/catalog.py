@@ -289,6 +289,14 @@ def clean_documents(s: SparkSession, d: str) -> DataFrame:
     return clean.clean_documents(_docs(s, d, "organization", "source_type"))
 
 
+def clean_wrapped(s: SparkSession, d: str) -> DataFrame:
+    """Every document cleaned with pages around its text that hold all that cleaning removes."""
+    before, between, after = map(F.lit, fixtures.WRAP)
+    name = F.coalesce("organization", F.lit("Example Society"))
+    wrapped = F.concat(before, name, between, "text", after, F.when(C("doc_id") % 2 == 0, fixtures.WRAP_EVEN).otherwise(fixtures.WRAP_ODD))
+    return clean.clean_documents(_docs(s, d, "organization", "source_type").select("doc_id", wrapped.alias("text"), name.alias("organization"), "source_type"))
+
+
 def cleaning_summary(s: SparkSession, d: str) -> DataFrame:
     return qa.cleaning_summary(clean_documents(s, d))
 
@@ -333,7 +341,7 @@ NAMES = """text_normalize_hash exact_dup_groups word_counts scrub_contacts white
 caps_headings first_n_words_card doc_title topic_labels label_transition_matrix label_deltas stakeholder_lookup procedural_filter slugs doc_id_counter
 chunk_word_windows chunk_sections chunk_gov_response chunk_report chunk_stats cosine_pairs near_dup_clusters semantic_dups latest_manifest new_documents
 contaminated_clusters split_units_mode train_dev_split split_topic_counts split_checks gold_allocation gold_sample labelling_sheet qa_counts qa_gold
-qa_dist_stats percentile_index study_type_pivot qa_flags qa_clusters qa_topics corpus_inclusion corpus_build clean_documents cleaning_summary
+qa_dist_stats percentile_index study_type_pivot qa_flags qa_clusters qa_topics corpus_inclusion corpus_build clean_documents clean_wrapped cleaning_summary
 published_dates pdf_extract html_extract study_list study_meta brief_parse pdf_links""".split()
 
 

@@ -53,3 +53,13 @@ PAGES = [
     (7, ""),
     (8, None),
 ]
+
+#: Pages around every text, so that running lines, title echoes, contents lists, paragraphs about the submitter, front and back matter, contacts and
+#: salutations all occur: what stands before the name of the organisation, between it and the text, and after the text, by parity of the id.
+WRAP = (
+    "Committee brief 1\nAnnual review of northern pharmacy services\nDelivered across remote communities\n\n",
+    " (ORGX) writes to you.\nTable of  Contents\nIntroduction ......... 3\niv\n\n[[page 2]]\nCommittee brief 2\n12\nOther matters ....... 9\nKept line\n[[page 3]]\nCommittee brief 3\nAnnual review of northern pharmacy services\nDelivered across remote communities\n\nINTRODUCTION\n",
+    "\n[[page 4]]\nCommittee brief 4\nAbout the Example Society\nwe care\n\nabout people\n[[page 5]]Committee brief 5\nAbout 20 people came.\nABOUT US AND OTHERS\nwe \n \n\t\nafter it\nORGX and orgx-like bodies agree.\n",
+)
+WRAP_EVEN = "LIST OF RECOMMENDATIONS\nRecommendation 1\nfund it, call 613-555-0199 or a.b@c.example, K1A 0B1, 12 Main Street\nAppendix B\nfigures"
+WRAP_ODD = "Appendix A\nList of recommendations\nfund it; write to 40 Elm Rd\nSincerely,\nJo of ORGX"

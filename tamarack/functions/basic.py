@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,3 +17,8 @@ def hash_unit(*cols: Column) -> Column:
     """A double in (0, 1) that depends only on the values."""
     bits = F.shiftrightunsigned(F.xxhash64(*cols), 11)
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

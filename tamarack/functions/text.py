@@ -6,9 +6,13 @@ here, in Python and in a SQL engine with another regular-expression dialect.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tamarack.functions.basic import let
+
 #: Characters that str.split() and str.strip() treat as white space.
 WS = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: The same, one by one.
@@ -45,8 +49,9 @@ def strip(c: Column) -> Column:
 
 
 def one_line_end(c: Column) -> Column:
-    """Every line end as \\n."""
-    return F.regexp_replace(c, r"\r\n|[\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]", "\n")
+    """Every line end as \\n; texts without others are passed through."""
+    others = r"[\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+    return F.when(c.rlike(others), F.regexp_replace(c, rf"\r\n|{others}", "\n")).otherwise(c)
 
 
 def lines(c: Column) -> Column:
@@ -62,8 +67,8 @@ def words(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    """Number of words, counted without making them."""
-    return F.regexp_count(c, F.lit(rf"[^{WS}]++"))
+    """Number of words."""
+    return let(strip(c), lambda x: F.when(F.length(x) == 0, 0).otherwise(F.size(F.split(x, rf"[{WS}]+", -1))))
 
 
 def approx_tokens(c: Column) -> Column:
@@ -102,41 +107,69 @@ def fix_ligatures(c: Column) -> Column:
 
 def join_hyphens(c: Column) -> Column:
     """Words that a line end cut in two, put together."""
-    return F.regexp_replace(c, rf"([{WORD}])-\n([{WORD}])", "$1$2")
+    return F.when(c.contains("-\n"), F.regexp_replace(c, rf"([{WORD}])-\n([{WORD}])", "$1$2")).otherwise(c)
 
 
 def tidy_space(c: Column) -> Column:
-    """Blanks and tabs as one blank, at most one empty line, no blanks at line ends, stripped."""
-    c = F.regexp_replace(F.regexp_replace(c, r"[ \t]+", " "), r"\n{3,}", "\n\n")
-    return strip(F.regexp_replace(c, rf"(?<![{GAP}])[{GAP}]++(?=\n|\z)", ""))
+    """Blanks and tabs as one blank, at most one empty line, every line end as \\n, no blanks at line ends, stripped."""
+    # runs of one blank are left alone, and each pattern only meets texts that can hold it
+    c = F.regexp_replace(c, r"(?: [ \t]|\t)[ \t]*", " ")
+    c = let(F.when(c.contains("\n\n\n"), F.regexp_replace(c, r"\n{3,}", "\n\n")).otherwise(c), one_line_end)
+    rare = GAP.replace(r"\x{20}", r"\x{1f}")
+    return let(c, lambda x: strip(F.when(x.contains(" \n") | x.rlike(f"[{rare}]"), F.regexp_replace(x, rf"(?<![{GAP}])[{GAP}]++(?=\n|\z)", "")).otherwise(x)))
 
 
-def scrub_contacts(c: Column) -> tuple[Column, Column]:
-    """(text with contact details replaced, number of replacements), kind after kind."""
-    total = F.lit(0)
+def scrubbed(c: Column) -> Column:
+    """(text, n): the text with contact details replaced kind after kind, and the number of replacements."""
     # an address can only start where a run of its characters does, or where the last one ended
     email = rf"(?:(?<![{WORD}.+%-])|\G){EMAIL}"
-    for pattern in (email, PHONE, _edged(POSTAL), "(?i)" + _edged(ADDRESS)):
-        total = total + F.regexp_count(c, F.lit(pattern))
-        c = F.regexp_replace(c, pattern, "[CONTACT]")
-    return c, total
+
+    def step(c: Column, can: Callable[[Column], Column], pattern: str) -> Column:
+        return let(c, lambda x: F.when(can(x), F.regexp_replace(x, pattern, CONTACT)).otherwise(x))
+
+    def steps(c: Column) -> Column:
+        out = step(c, lambda x: x.contains("@"), email)
+        out = step(out, lambda x: x.rlike(r"[0-9]{3}[-. \t-\r][0-9]{4}"), PHONE)
+        out = step(out, lambda x: x.rlike(r"[A-Z][0-9][A-Z]"), _edged(POSTAL))
+        out = step(out, lambda x: x.rlike(rf"(?i)[ \t-\r](?:{STREETS})(?![{WORD}])"), "(?i)" + _edged(ADDRESS))
+        # no pattern can match a placeholder, so those that were not there before are the replacements
+        return let(out, lambda x: F.struct(x.alias("text"), (_n_contacts(x) - _n_contacts(c)).alias("n")))
+
+    return let(c, steps)
+
+
+def scrub_contacts(c: Column) -> tuple[Column, Column]:
+    """The two parts of ``scrubbed``."""
+    both = scrubbed(c)
+    return both["text"], both["n"]
+
+
+CONTACT = "[CONTACT]"
+
+
+def _n_contacts(c: Column) -> Column:
+    return ((F.length(c) - F.length(F.replace(c, F.lit(CONTACT), F.lit("")))) / len(CONTACT)).cast("int")
 
 
 def is_mangled(c: Column, short_share: float = 0.40, digit_share: float = 0.02) -> Column:
     """Many lines of under four words and many digits: a table or form that lost its layout."""
-    # lines are counted by what they hold, not made: a full line has a word, a long one at least four
-    one = one_line_end(c)
-    full = F.regexp_count(one, F.lit(rf"(?<![^\n])[{GAP}]*+[^{WS}][^\n]*+"))
-    long = F.regexp_count(one, F.lit(rf"(?<![^\n])[{GAP}]*+(?:[^{WS}]++[{GAP}]++){{3}}[^{WS}][^\n]*+"))
     dense = F.translate(c, " \n", "")
-    digits = F.regexp_count(dense, F.lit(r"\p{Nd}|[²³¹⁰-⁹₀-₉①-⑨]")) / F.greatest(F.length(dense), F.lit(1))
-    return (full > 0) & ((full - long) / F.greatest(full, F.lit(1)) > short_share) & (digits > digit_share)
+    digits = let(dense, lambda d: (F.length(d) - F.length(F.regexp_replace(d, r"(?:\p{Nd}|[²³¹⁰-⁹₀-₉①-⑨])+", ""))) / F.greatest(F.length(d), F.lit(1)))
+
+    def short(one: Column) -> Column:
+        # lines are counted by what they hold, not made: a full line has a word, a long one at least four
+        full = F.regexp_count(one, F.lit(rf"(?<![^\n])[{GAP}]*+[^{WS}][^\n]*+"))
+        long = F.regexp_count(one, F.lit(rf"(?<![^\n])[{GAP}]*+(?:[^{WS}]++[{GAP}]++){{3}}[^{WS}][^\n]*+"))
+        return let(full, lambda n: (n > 0) & ((n - long) / F.greatest(n, F.lit(1)) > short_share))
+
+    return F.when(digits > digit_share, let(one_line_end(c), short)).otherwise(F.lit(False) & c.isNotNull())
 
 
 def is_caps_heading(c: Column, longest: int = 120, letters: int = 4, upper_share: float = 0.70) -> Column:
-    s = strip(c)
-    n = F.regexp_count(s, F.lit(r"\p{L}"))
-    return (F.length(s).between(1, longest)) & (n >= letters) & (F.regexp_count(s, F.lit(r"\p{Lu}")) >= n * F.lit(upper_share))
+    # characters of a kind are counted by what the text loses without them
+    without = lambda s, kind: F.length(s) - F.length(F.regexp_replace(s, f"{kind}+", ""))
+    shares = lambda s: let(without(s, r"\p{L}"), lambda n: (n >= letters) & (without(s, r"\p{Lu}") >= n * F.lit(upper_share)))
+    return let(strip(c), lambda s: F.length(s).between(1, longest) & shares(s))
 
 
 def first_words(c: Column, n: int = CARD_WORDS) -> Column:

@@ -1,63 +1,47 @@
-"""The cleaning of documents, in one narrow pass over Arrow batches."""
+"""The cleaning of documents, as one projection without a shuffle and without Python."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.functions import line_scans as scan
-from tamarack.functions.text import SHORT_WORDS
+from tamarack.functions import cleaning
+from tamarack.functions.text import SHORT_WORDS, is_mangled, org_names, scrubbed, tidy_space, word_count
 
 #: Types whose front and back matter is cut, and the type whose submitters are masked.
 REPORT_TYPES = ("hesa_report", "gov_response")
 MASKED_TYPE = "hesa_brief"
 
 SCHEMA = "doc_id string, clean_text string, masked_text string, words_before int, words_after int, hf_removed int, title_echoes int, contact_count int, layout_mangled boolean, dropped_short boolean"
-_TYPES = (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_())
 
 
-def clean_text(text: str, organization: str | None, source_type: str | None) -> tuple:
-    """The values of SCHEMA after doc_id for one document.
+def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", org_col: str = "organization", type_col: str = "source_type") -> DataFrame:
+    """Rows of SCHEMA for every document with a text.
 
     Running lines and title echoes go first, on the text as it stands; then print damage, contents
     lists, paragraphs about the submitter, front and back matter of reports, contact details and the
     signature. Layout is judged before contacts are scrubbed, short texts are marked but kept.
-    """
-    pages, markers = scan.split_pages(text)
-    running, removed = scan.running_lines(pages), 0
-    if running:
-        cut = [scan.without_lines(p, running) for p in pages]
-        pages, removed = [p for p, _ in cut], sum(n for _, n in cut)
-    pages, echoes = scan.without_title_echoes(pages)
-    body = scan.tidy(scan.join_pages(pages, markers))
-    names = scan.names_of(organization)
-    aliases = scan.acronyms(body, names)
-    body = scan.without_about(scan.without_contents(body))
-    if source_type in REPORT_TYPES:
-        body = scan.without_back(scan.without_front(body))
-    mangled = scan.mangled(body)
-    body, contacts = scan.scrubbed(body)
-    body = scan.tidy_space(scan.without_signature(body))
-    n = len(body.split())
-    masked = scan.without_names(body, names + aliases) if source_type == MASKED_TYPE else None
-    return body, masked, len(text.split()), n, removed, echoes, contacts, mangled, n < SHORT_WORDS
-
-
-def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", org_col: str = "organization", type_col: str = "source_type") -> DataFrame:
-    """Rows of SCHEMA for every document with a text.
-
     Null texts give no row, empty ones an empty short document. Repeated rows each give one row,
     other columns are ignored. No shuffle: every document is cleaned where it is read.
     """
-    source = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(org_col).cast("string").alias("org"), F.col(type_col).cast("string").alias("kind")).filter("text is not null")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, *values = (batch.column(k).to_pylist() for k in range(4))
-            rows = [(i, *clean_text(*v)) for i, *v in zip(ids, *values, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(_TYPES)], [f.split()[0] for f in SCHEMA.split(", ")])
-
-    return source.mapInArrow(run, SCHEMA)
+    c = F.col
+    source = docs.select(c(id_col).cast("string").alias("doc_id"), c(text_col).cast("string").alias("text"), c(org_col).cast("string").alias("org"), c(type_col).cast("string").alias("kind")).filter("text is not null")
+    bare = source.select("*", cleaning.without_running(c("text")).alias("bare"), F.coalesce(org_names(c("org")), F.array().cast("array<string>")).alias("names"))
+    whole = bare.select("*", cleaning.tidy(c("bare.text")).alias("whole"))
+    named = whole.select("*", cleaning.aliases(c("whole"), c("names")).alias("more"), cleaning.without_about(cleaning.without_contents(c("whole"))).alias("body"))
+    cut = named.withColumn("body", F.when(c("kind").isin(*REPORT_TYPES), cleaning.without_back(cleaning.without_front(c("body")))).otherwise(c("body")))
+    clean = cut.select("*", is_mangled(c("body")).alias("layout_mangled"), scrubbed(c("body")).alias("scrubbed"))
+    done = clean.select("*", tidy_space(cleaning.without_signature(c("scrubbed.text"))).alias("clean_text"))
+    counted = done.withColumn("words_after", word_count(c("clean_text")))
+    return counted.select(
+        "doc_id",
+        "clean_text",
+        F.when(c("kind") == MASKED_TYPE, cleaning.masked(c("clean_text"), F.concat("names", "more"))).alias("masked_text"),
+        word_count(c("text")).alias("words_before"),
+        "words_after",
+        c("bare.hf_removed").alias("hf_removed"),
+        c("bare.title_echoes").alias("title_echoes"),
+        c("scrubbed.n").alias("contact_count"),
+        "layout_mangled",
+        (c("words_after") < SHORT_WORDS).alias("dropped_short"),
+    )

@@ -51,6 +51,23 @@ def n_found(x: str, pattern: str) -> str:
     return f"len(regexp_extract_all({x}, {q(pattern)}))"
 
 
+def tidy(x: str, prints: bool = True) -> str:
+    """White space tidied; with ``prints`` ligatures and words cut by a hyphen first."""
+    if prints:
+        for bad, good in LIGATURES.items():
+            x = f"replace({x}, {q(bad)}, {q(good)})"
+        x = rf"regexp_replace({x}, '([\p{{L}}\p{{N}}_])-\n([\p{{L}}\p{{N}}_])', '\1\2', 'g')"
+    x = rf"regexp_replace(regexp_replace(regexp_replace({x}, '[ \t]+', ' ', 'g'), '\n{{3,}}', {_NL} || {_NL}, 'g'), {q(_ENDS)}, {_NL}, 'g')"
+    return strip(rf"regexp_replace({x}, '{_TRAIL}(\n|\z)', '\1', 'g')")
+
+
+def mangled(x: str) -> str:
+    rows = f"list_filter({lines(x)}, lambda y: {strip('y')} <> '')"
+    dense = f"replace(replace({x}, ' ', ''), chr(10), '')"
+    digits = r"\p{Nd}|[²³¹⁰-⁹₀-₉①-⑨]"
+    return f"coalesce(len({rows}) > 0 AND len(list_filter({rows}, lambda y: {n_words('y')} < 4)) / len({rows})::DOUBLE > 0.4::DOUBLE AND {n_found(dense, digits)} / greatest(length({dense}), 1)::DOUBLE > 0.02::DOUBLE, false)"
+
+
 def first_words(x: str, n: int = 250) -> str:
     return f"coalesce(array_to_string(list_slice({words(sub(x, MARKER, ' '))}, 1, {n}), ' '), '')"
 
@@ -205,18 +222,12 @@ def components(tau: str, strict: str) -> str:
 def oracle_sql() -> dict[str, str]:
     docs = "documents WHERE text IS NOT NULL"
     ctes, last = scrub()
-    tidy = "text"
-    for bad, good in LIGATURES.items():
-        tidy = f"replace({tidy}, {q(bad)}, {q(good)})"
-    tidy = rf"regexp_replace({tidy}, '([\p{{L}}\p{{N}}_])-\n([\p{{L}}\p{{N}}_])', '\1\2', 'g')"
-    tidy = strip(rf"regexp_replace(regexp_replace(regexp_replace({tidy}, '[ \t]+', ' ', 'g'), '\n{{3,}}', {_NL} || {_NL}, 'g'), '{_TRAIL}(\n|\z)', '\1', 'g')")
     prints = f"SELECT source, doc_id, unnest(list_distinct(list_transform({lines('text')}, lambda y: {line_print('y')}))) AS print FROM {docs}"
     procedural = "CASE " + " ".join([*(f"WHEN starts_with(title, {q(p)}) THEN {q('starts_with:' + p.strip())}" for p in scalars.PROCEDURAL_PREFIXES), *(f"WHEN contains(title, {q(p)}) THEN {q('contains:' + p.strip())}" for p in scalars.PROCEDURAL_FRAGMENTS)]) + " END"
     w = f"SELECT {n_words('text')} AS v FROM {docs}"
     ex = lambda i, n: f"CASE WHEN m >= 2 THEN trunc((x[greatest(least({i}*(m+1)//{n}, m-1), 1)] * ({n} - ({i}*(m+1) - greatest(least({i}*(m+1)//{n}, m-1), 1)*{n})) + x[greatest(least({i}*(m+1)//{n}, m-1), 1)+1] * ({i}*(m+1) - greatest(least({i}*(m+1)//{n}, m-1), 1)*{n})) / {n}::DOUBLE)::BIGINT END"
     counts = lambda t, *cs: " UNION ALL ".join(f"SELECT '{c}' AS field, coalesce(nullif({c}, ''), 'unknown') AS value, count(*) AS n_rows FROM {t} GROUP BY 2" for c in cs)
     slug = sub(f"left({sub(sub(strip(sub('lower(study_or_consultation_title)', rf'[^\p{{L}}\p{{N}}_{WS}]', '')), rf'[{WS}]+', '_'), '_+', '_')}, 28)", "_+$", "")
-    digits = r"\p{Nd}|[²³¹⁰-⁹₀-₉①-⑨]"
     iso = f"""coalesce(try_strptime(nullif(regexp_extract(p, '([A-Z][a-z]+ [0-9]{{1,2}}, [0-9]{{4}})', 1), ''), '%B %-d, %Y'), try_strptime(nullif(regexp_extract(p, '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1), ''), '%Y-%m-%d'))"""
     return {
         "entry": f"""WITH t AS (SELECT doc_id, coalesce(nullif(lang, ''), 'unknown') AS lang, sha256({hash_form('text')}) AS h, {n_words('text')} < 150 AS short FROM {docs}), m AS (SELECT *, doc_id <> min(doc_id) OVER (PARTITION BY h) AS dup FROM t)
@@ -225,11 +236,10 @@ def oracle_sql() -> dict[str, str]:
         "exact_dup_groups": f"WITH t AS (SELECT doc_id, sha256({hash_form('text')}) AS h FROM {docs}), g AS (SELECT *, min(doc_id) OVER (PARTITION BY h) AS k, count(*) OVER (PARTITION BY h) AS group_size FROM t) SELECT doc_id, h, group_size, CASE WHEN doc_id <> k THEN k END AS duplicate_of FROM g",
         "word_counts": f"SELECT doc_id, n_words, floor(n_words * 1.33::DOUBLE)::INT AS token_approx, n_words < 150 AS is_short FROM (SELECT doc_id, {n_words('text')} AS n_words FROM {docs})",
         "scrub_contacts": f"WITH {ctes} SELECT DISTINCT doc_id, sha256(t) AS h, n AS n_contacts FROM {last}",
-        "whitespace_normalize": f"SELECT doc_id, sha256({tidy}) AS h FROM {docs}",
+        "whitespace_normalize": f"SELECT doc_id, sha256({tidy('text')}) AS h FROM {docs}",
         "line_fingerprint_df": f"WITH p AS ({prints}), o AS (SELECT source, count(*) AS of_pages FROM {docs} GROUP BY 1 HAVING count(*) >= 2) SELECT p.source, print, count(*) AS n_pages, of_pages FROM p JOIN o USING (source) WHERE print <> '' GROUP BY ALL HAVING count(*) > of_pages * 0.5",
         "line_fingerprints": f"WITH p AS ({prints}) SELECT print, count(*) AS n_docs FROM p WHERE print <> '' GROUP BY 1 HAVING count(*) >= 2",
-        "layout_mangled": f"""WITH t AS (SELECT doc_id, list_filter({lines('text')}, lambda y: {strip('y')} <> '') AS f, replace(replace(text, ' ', ''), chr(10), '') AS x FROM {docs})
-            SELECT doc_id, coalesce(len(f) > 0 AND len(list_filter(f, lambda y: {n_words('y')} < 4)) / len(f)::DOUBLE > 0.4::DOUBLE AND {n_found('x', digits)} / greatest(length(x), 1)::DOUBLE > 0.02::DOUBLE, false) AS mangled FROM t""",
+        "layout_mangled": f"SELECT doc_id, {mangled('text')} AS mangled FROM {docs}",
         "caps_headings": f"WITH t AS (SELECT doc_id, {lines('text')} AS l FROM {docs}), r AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) - 1 AS line_no FROM t) SELECT doc_id, line_no, {strip('line')} AS heading FROM r WHERE {is_heading('line')}",
         "first_n_words_card": f"SELECT doc_id, {first_words('text')} AS card, '[ORG] [ORG]' || chr(10) || '[TITLE] ' || {title('text')} || chr(10) || chr(10) || {first_words('text')} AS tiered FROM {docs}",
         "doc_title": f"SELECT doc_id, {title('text')} AS title, replace(left(text, 220), chr(10), ' | ') AS snippet FROM {docs}",
