@@ -174,7 +174,8 @@ def chunk_report(s: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_stats(s: SparkSession, d: str) -> DataFrame:
-    return qa.chunk_stats(chunks.chunk_documents(_docs(s, d, "source_type")))
+    """Chunks of the types that the stage cuts."""
+    return qa.chunk_stats(chunks.chunk_documents(_docs(s, d, "source_type"), types=chunks.CHUNKED_TYPES))
 
 
 def cosine_pairs(s: SparkSession, d: str) -> DataFrame:
@@ -199,8 +200,13 @@ def latest_manifest(s: SparkSession, d: str) -> DataFrame:
 
 def new_documents(s: SparkSession, d: str) -> DataFrame:
     """Documents whose address the manifest does not hold."""
-    found = table(s, d, "documents", "doc_id", "source_url").select(F.concat(F.lit("doc_"), C("doc_id").cast("string")).alias("doc_id"), "source_url")
-    return sinks.new_documents(found, _manifest(s, d))
+    docs, known = table(s, d, "documents", "doc_id", "source_url"), _manifest(s, d)
+    found = docs.select(F.concat(F.lit("doc_"), "doc_id").alias("doc_id"), "source_url")
+    # addresses found twice, ids with two addresses, and ids and addresses that the manifest holds
+    again = docs.filter("doc_id % 3 = 0").select(F.concat(F.lit("again_"), "doc_id").alias("doc_id"), "source_url")
+    moved = docs.filter("doc_id % 5 = 0").select(F.concat(F.lit("doc_"), "doc_id").alias("doc_id"), F.concat("source_url", F.lit("#"), "doc_id").alias("source_url"))
+    held = known.select("doc_id", F.concat("source_url", F.lit("#new")).alias("source_url")).union(known.select(F.concat(F.lit("new_"), "doc_id").alias("doc_id"), "source_url"))
+    return sinks.new_documents(found.union(again).union(moved).union(held), known)
 
 
 def contaminated_clusters(s: SparkSession, d: str) -> DataFrame:
@@ -243,11 +249,11 @@ def labelling_sheet(s: SparkSession, d: str) -> DataFrame:
 
 
 def qa_counts(s: SparkSession, d: str) -> DataFrame:
-    return qa.value_counts(_topiced(s, d), "topic_seed", "stakeholder_type", "source_type", "language", "label_source")
+    return qa.value_counts(_topiced(s, d).distinct(), "topic_seed", "stakeholder_type", "source_type", "language", "label_source")
 
 
 def qa_gold(s: SparkSession, d: str) -> DataFrame:
-    return qa.value_counts(table(s, d, "gold_test_fixture"), "gold_topic", "gold_stakeholder")
+    return qa.value_counts(table(s, d, "gold_test_fixture").distinct(), "gold_topic", "gold_stakeholder")
 
 
 def qa_dist_stats(s: SparkSession, d: str) -> DataFrame:
@@ -271,7 +277,7 @@ def qa_clusters(s: SparkSession, d: str) -> DataFrame:
 
 
 def qa_topics(s: SparkSession, d: str) -> DataFrame:
-    return qa.corpus_report(_topiced(s, d)).withColumn("share", F.round("share", 9))
+    return qa.corpus_report(_topiced(s, d).distinct()).withColumn("share", F.round("share", 9))
 
 
 def corpus_inclusion(s: SparkSession, d: str) -> DataFrame:

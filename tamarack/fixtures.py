@@ -25,6 +25,14 @@ PUBLISHED = (
     "2023-02-30",
     "2023-02-28",
     "May 2022",
+    "9 May 2022",
+    "May 9 2022",
+    "2022/05/09",
+    "2022.5.9",
+    "Sept. 3rd, 2021",
+    "on the 21st December, 2020 or so",
+    "32 May 2022",
+    "20220509",
     "Published on: Tuesday, February 30, 2021 at 1:00 p.m. (EST)",
 )
 BLOCKS = [

@@ -23,6 +23,15 @@ PROCEDURAL_PREFIXES = (
 PROCEDURAL_FRAGMENTS = ("Bill C-", "Bill S-")
 
 
+# English names of months.
+MONTH_NAME = "january|february|march|april|may|june|july|august|september|october|november|december|jan|feb|mar|apr|jun|jul|aug|sept|sep|oct|nov|dec"
+
+
+def _months() -> Column:
+    names = MONTH_NAME.split("|")[:12]
+    return F.create_map(*[F.lit(x) for k, n in enumerate(names) for x in (n[:3], str(k + 1))])
+
+
 def slugify(c: Column, longest: int = 28) -> Column:
     kept = F.regexp_replace(F.lower(c), rf"[^{WORD}{WS}]", "")
     joined = F.regexp_replace(F.regexp_replace(strip(kept), rf"[{WS}]+", "_"), "_+", "_")
@@ -46,12 +55,23 @@ def procedural_reason(title: Column) -> Column:
 
 
 def published_date(c: Column) -> Column:
-    """ISO date of 'Published on: Monday, May 9, 2022 at 8:05 a.m. (EDT)' or of an ISO, d/m/y or year-month text; null where no whole date stands."""
+    """ISO date of 'Published on: Monday, May 9, 2022 at 8:05 a.m. (EDT)' and other texts with one whole date; null where none stands.
+
+    Taken are month day year and day month year with the month's English name or its first three letters, and year month day
+    with hyphens, slashes or points. Dates that do not exist, and months without a day, are null: nothing is filled in.
+    """
     bare = strip(F.replace(c, F.lit("Published on:"), F.lit("")))
-    long = F.regexp_extract(bare, r"([A-Z][a-z]+ [0-9]{1,2}, [0-9]{4})", 1)
-    iso = F.regexp_extract(bare, r"^([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
-    found = F.coalesce(F.try_to_timestamp(F.nullif(long, F.lit("")), F.lit("MMMM d, yyyy")), F.try_to_timestamp(F.nullif(iso, F.lit("")), F.lit("yyyy-MM-dd")))
-    return F.date_format(found, "yyyy-MM-dd")
+
+    def parts(pattern: str, year: int, month: int, day: int) -> Column:
+        at = lambda k: F.regexp_extract(bare, pattern, k)
+        number = F.lpad(F.coalesce(F.try_element_at(_months(), F.left(F.lower(at(month)), F.lit(3))), at(month)), 2, "0")
+        return F.when(F.length(at(day)) > 0, F.concat_ws("-", at(year), number, F.lpad(at(day), 2, "0")))
+
+    named = rf"(?i)(?<![A-Za-z])({MONTH_NAME})[.,]?\s+([0-9]{{1,2}})(?:st|nd|rd|th)?,?\s+([0-9]{{4}})(?![0-9])"
+    turned = rf"(?i)(?<![0-9])([0-9]{{1,2}})(?:st|nd|rd|th)?\s+({MONTH_NAME})[.,]?,?\s+([0-9]{{4}})(?![0-9])"
+    numbered = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})(?![0-9])"
+    found = F.coalesce(parts(named, 3, 1, 2), parts(turned, 3, 2, 1), parts(numbered, 1, 2, 3))
+    return F.date_format(F.try_to_timestamp(found, F.lit("yyyy-MM-dd")), "yyyy-MM-dd")
 
 
 def status_tag(dropped: Column, mangled: Column) -> Column:
@@ -73,8 +93,3 @@ def exclusive_quantile(sorted_values: Column, i: int, n: int) -> Column:
     delta = F.lit(i) * (m + 1) - j * n
     at = lambda k: F.element_at(sorted_values, k).cast("double")
     return F.when(m >= 2, (at(j) * (n - delta) + at(j + 1) * delta) / n)
-
-
-def index_percentile(sorted_values: Column, p: float) -> Column:
-    """The element at floor(size * p), counted from 0."""
-    return F.when(F.size(sorted_values) > 0, F.element_at(sorted_values, F.floor(F.size(sorted_values) * F.lit(p)).cast("int") + 1))

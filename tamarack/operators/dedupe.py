@@ -43,7 +43,9 @@ def _block_products(threshold: float):
                 sims = a @ b.T
                 i, j = np.nonzero(sims >= threshold)
                 x, y = np.asarray(ids_a)[i], np.asarray(ids_b)[j]
-                keep = x < y
+                # within one block both orders of a pair come up, between two blocks only one
+                keep = (x < y) if ids_a == ids_b else (x != y)
+                x, y = np.minimum(x, y), np.maximum(x, y)
                 yield pa.RecordBatch.from_arrays([pa.array(x[keep]), pa.array(y[keep]), pa.array(sims[i, j][keep])], ["a", "b", "similarity"])
 
     return run
@@ -64,8 +66,9 @@ def cosine_pairs(vectors: DataFrame, id_col: str, vector_col: str, threshold: fl
     blocks = cut(unit.withColumn("k", F.pmod(F.xxhash64("id"), F.lit(n_blocks))).groupBy("k").agg(F.collect_list("v").alias("vs"), F.collect_list("id").alias("ids")))
     left = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("other"), "k", "vs", "ids")
     right = blocks.select(F.col("k").alias("other"), F.col("vs").alias("vs2"), F.col("ids").alias("ids2"))
-    both = left.join(right, "other").select("vs", "vs2", "ids", "ids2")
-    return both.repartition(max(1, min(n_blocks * n_blocks, 4096))).mapInArrow(_block_products(threshold), "a long, b long, similarity double")
+    # each unordered pair of blocks once
+    both = left.filter("k <= other").join(right, "other").select("vs", "vs2", "ids", "ids2")
+    return both.repartition(max(1, min(n_blocks * (n_blocks + 1) // 2, 4096))).mapInArrow(_block_products(threshold), "a long, b long, similarity double")
 
 
 def cosine_pairs_lsh(vectors: DataFrame, id_col: str, vector_col: str, threshold: float, tables: int = 24, bits: int = 14, seed: int = 11) -> DataFrame:

@@ -18,7 +18,7 @@ def next_ids(new: DataFrame, used: DataFrame, prefix: str, key: str, used_id: st
 
     Only used ids of exactly ``digits`` digits count. Numbers are grouped in ranges: the free numbers of
     each range are counted, so a row finds its range by rank, and only ranges that are needed are
-    listed. Repeated keys each get a number; null prefixes get none.
+    listed. Repeated keys each get a number; null prefixes get none. Numbers beyond ``digits`` digits are written in full.
     """
     taken = used.select(F.regexp_extract(used_id, rf"^(.*)_([0-9]{{{digits}}})$", 1).alias("p"), F.regexp_extract(used_id, rf"^(.*)_([0-9]{{{digits}}})$", 2).alias("n")).filter("p <> '' and cast(n as long) > 0")
     taken = taken.select("p", F.col("n").cast("long").alias("n")).distinct()
@@ -29,9 +29,13 @@ def next_ids(new: DataFrame, used: DataFrame, prefix: str, key: str, used_id: st
     free = span.join(filled, ["p", "r"], "left").withColumn("f", RANGE - F.coalesce("c", F.lit(0)))
     ends = F.sum("f").over(W.partitionBy("p").orderBy("r"))
     ranges = free.withColumn("hi", ends).withColumn("lo", F.col("hi") - F.col("f"))
-    placed = ranked.join(ranges.select("p", "r", "lo", "hi"), "p").filter((F.col("k") > F.col("lo")) & (F.col("k") <= F.col("hi"))).select("p", "key", "r", (F.col("k") - F.col("lo")).alias("j"))
+    # a rank and the ranges it can lie in meet in buckets of RANGE ranks: a range of at most RANGE free numbers touches at most two of them
+    bucket = lambda x: F.floor((x - 1) / RANGE).cast("long")
+    spread = ranges.filter("f > 0").select("p", "r", "lo", "hi", F.explode(F.array_distinct(F.array(bucket(F.col("lo") + 1), bucket(F.col("hi"))))).alias("q"))
+    near = ranked.withColumn("q", bucket(F.col("k"))).join(spread, ["p", "q"])
+    placed = near.filter((F.col("k") > F.col("lo")) & (F.col("k") <= F.col("hi"))).select("p", "key", "r", (F.col("k") - F.col("lo")).alias("j"))
     wanted = placed.select("p", "r").distinct()
     numbers = wanted.select("p", "r", F.explode(F.sequence(F.col("r") * RANGE + 1, (F.col("r") + 1) * RANGE)).alias("n")).join(taken, ["p", "n"], "left_anti")
     listed = numbers.withColumn("j", F.row_number().over(W.partitionBy("p", "r").orderBy("n")))
     out = placed.join(listed, ["p", "r", "j"])
-    return out.select(F.col("p").alias("prefix"), "key", F.concat("p", F.lit("_"), F.lpad(F.col("n").cast("string"), digits, "0")).alias("new_id"))
+    return out.select(F.col("p").alias("prefix"), "key", F.concat("p", F.lit("_"), F.format_string(f"%0{digits}d", F.col("n"))).alias("new_id"))

@@ -118,13 +118,14 @@ _LETTERS = "A-Za-záàâäéèêëíìîïóòôöúùûü"
 INDIVIDUAL = rf"^[{_LETTERS}ÉÈÊÀÂÄÔÛÙ-]+,[ \t-\r]+[{_LETTERS}]"
 
 
-def stakeholders(docs: DataFrame, org_col: str, lookup: DataFrame) -> DataFrame:
+def stakeholders(docs: DataFrame, org_col: str, lookup: DataFrame, order: str | None = None) -> DataFrame:
     """docs with stakeholder_type: of the whole organisation, else of its first known part, else 'individual' by form, else null.
 
     Distinct organisations are resolved once and joined back, hot ones without a shuffle of their
-    rows; the lookup is joined like any table, so it may grow. Null and empty organisations have none.
+    rows; the lookup is joined like any table, so it may grow. Null and empty organisations have none. Of several
+    rows of an organisation the one with the greatest ``order`` counts, or without one the greatest type.
     """
-    keys = lookup.select(F.col("org").alias("_o"), F.col("stakeholder_type").alias("_t")).filter("_o is not null").groupBy("_o").agg(F.max("_t").alias("_t"))
+    keys = lookup.select(F.col("org").alias("_o"), F.col("stakeholder_type").alias("_t"), *([F.col(order).alias("_p")] if order else [])).filter("_o is not null").groupBy("_o").agg((F.max_by("_t", "_p") if order else F.max("_t")).alias("_t"))
     orgs = docs.groupBy(F.col(org_col).alias("_org")).agg(F.count("*").alias("_n")).filter(F.length("_org") > 0)
     tried = orgs.select("_org", F.posexplode(F.concat(F.array("_org"), F.transform(F.split("_org", " / ", -1), strip))).alias("_k", "_o"))
     found = tried.join(keys, "_o").groupBy("_org").agg(F.min_by("_t", "_k").alias("_t"))

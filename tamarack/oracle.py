@@ -228,7 +228,14 @@ def oracle_sql() -> dict[str, str]:
     ex = lambda i, n: f"CASE WHEN m >= 2 THEN trunc((x[greatest(least({i}*(m+1)//{n}, m-1), 1)] * ({n} - ({i}*(m+1) - greatest(least({i}*(m+1)//{n}, m-1), 1)*{n})) + x[greatest(least({i}*(m+1)//{n}, m-1), 1)+1] * ({i}*(m+1) - greatest(least({i}*(m+1)//{n}, m-1), 1)*{n})) / {n}::DOUBLE)::BIGINT END"
     counts = lambda t, *cs: " UNION ALL ".join(f"SELECT '{c}' AS field, coalesce(nullif({c}, ''), 'unknown') AS value, count(*) AS n_rows FROM {t} GROUP BY 2" for c in cs)
     slug = sub(f"left({sub(sub(strip(sub('lower(study_or_consultation_title)', rf'[^\p{{L}}\p{{N}}_{WS}]', '')), rf'[{WS}]+', '_'), '_+', '_')}, 28)", "_+$", "")
-    iso = f"""coalesce(try_strptime(nullif(regexp_extract(p, '([A-Z][a-z]+ [0-9]{{1,2}}, [0-9]{{4}})', 1), ''), '%B %-d, %Y'), try_strptime(nullif(regexp_extract(p, '^([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})', 1), ''), '%Y-%m-%d'))"""
+    months = "[" + ", ".join(q(m[:3]) for m in scalars.MONTH_NAME.split("|")[:12]) + "]"
+    named = rf"(?i)(?:^|[^A-Za-z])({scalars.MONTH_NAME})[.,]?[ \t-\r]+([0-9]{{1,2}})(?:st|nd|rd|th)?,?[ \t-\r]+([0-9]{{4}})(?:[^0-9]|$)"
+    turned = rf"(?i)(?:^|[^0-9])([0-9]{{1,2}})(?:st|nd|rd|th)?[ \t-\r]+({scalars.MONTH_NAME})[.,]?,?[ \t-\r]+([0-9]{{4}})(?:[^0-9]|$)"
+    numbered = r"^([0-9]{4})[-/.]([0-9]{1,2})[-/.]([0-9]{1,2})(?:[^0-9]|$)"
+    part = lambda pattern, k: f"regexp_extract(p, {q(pattern)}, {k})"
+    month = lambda pattern, k: f"list_position({months}, lower(left({part(pattern, k)}, 3)))"
+    made = [f"{part(p, y)} || '-' || {m} || '-' || {part(p, d)}" for p, y, m, d in ((named, 3, month(named, 1), 2), (turned, 3, month(turned, 2), 1), (numbered, 1, part(numbered, 2), 3))]
+    iso = f"try_strptime(CASE WHEN {part(named, 2)} <> '' THEN {made[0]} WHEN {part(turned, 1)} <> '' THEN {made[1]} WHEN {part(numbered, 3)} <> '' THEN {made[2]} END, '%Y-%m-%d')"
     return {
         "entry": f"""WITH t AS (SELECT doc_id, coalesce(nullif(lang, ''), 'unknown') AS lang, sha256({hash_form('text')}) AS h, {n_words('text')} < 150 AS short FROM {docs}), m AS (SELECT *, doc_id <> min(doc_id) OVER (PARTITION BY h) AS dup FROM t)
             SELECT lang, count(*) FILTER (NOT dup AND NOT short) AS n_kept, count(*) FILTER (dup) AS n_duplicate, count(*) FILTER (NOT dup AND short) AS n_short FROM m GROUP BY 1""",
@@ -264,11 +271,17 @@ def oracle_sql() -> dict[str, str]:
         "chunk_sections": chunks("plain", "source_type NOT IN ('hesa_report', 'gov_response')"),
         "chunk_gov_response": chunks("response"),
         "chunk_report": chunks("report"),
+        "chunk_stats": f"""WITH c AS (SELECT 'hesa_report' AS source_type, * FROM ({chunks("report", "source_type = 'hesa_report'")}) UNION ALL SELECT 'gov_response', * FROM ({chunks("response", "source_type = 'gov_response'")})
+            UNION ALL SELECT d.source_type, p.* FROM ({chunks("plain", "source_type IN ('policy', 'statcan_analysis')")}) p JOIN documents d ON d.doc_id::VARCHAR = p.doc_id)
+            SELECT source_type, count(*) AS n_chunks, count(*) FILTER (is_recommendation) AS n_recommendations, sum(token_approx)::BIGINT AS n_tokens, max(token_approx) AS longest FROM c GROUP BY 1""",
         "cosine_pairs": "WITH u AS (SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings) SELECT a.id AS a, b.id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM u a JOIN u b ON a.id < b.id WHERE list_cosine_similarity(a.v, b.v) >= 0.35",
         "near_dup_clusters": f"WITH {components('0.35', '>')} SELECT id, printf('ndc_%03d', dense_rank() OVER (ORDER BY c)) AS cluster FROM comp",
         "semantic_dups": f"WITH {components('0.40', '>=')} SELECT id, c AS duplicate_of FROM comp WHERE id <> c",
         "latest_manifest": f"WITH {LATEST} SELECT doc_id, line_no, source_url, language, needs_ocr, published_date FROM latest",
-        "new_documents": f"WITH {LATEST} SELECT 'doc_' || doc_id AS doc_id, source_url FROM documents WHERE source_url NOT IN (SELECT source_url FROM latest WHERE source_url IS NOT NULL)",
+        "new_documents": f"""WITH {LATEST}, found AS (SELECT 'doc_' || doc_id AS doc_id, source_url FROM documents UNION ALL SELECT 'again_' || doc_id, source_url FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT 'doc_' || doc_id, source_url || '#' || doc_id FROM documents WHERE doc_id % 5 = 0
+            UNION ALL SELECT doc_id, source_url || '#new' FROM latest UNION ALL SELECT 'new_' || doc_id, source_url FROM latest),
+            unseen AS (SELECT * FROM found WHERE doc_id NOT IN (SELECT doc_id FROM latest) AND (source_url IS NULL OR source_url NOT IN (SELECT source_url FROM latest WHERE source_url IS NOT NULL))),
+            once AS (SELECT doc_id, min(source_url) AS source_url FROM unseen GROUP BY 1) SELECT min(doc_id) AS doc_id, source_url FROM once WHERE source_url IS NOT NULL GROUP BY 2 UNION ALL SELECT doc_id, source_url FROM once WHERE source_url IS NULL""",
         "contaminated_clusters": f"WITH {DUPS}, {GOLD}, {DIRTY} SELECT * FROM dirty",
         "split_units_mode": f"WITH {ELIGIBLE} SELECT * FROM units",
         "train_dev_split": f"WITH {SPLIT} SELECT * FROM split",
@@ -278,14 +291,14 @@ def oracle_sql() -> dict[str, str]:
         "gold_allocation": f"WITH {POOL}, sizes AS (SELECT topic_seed, count(*) AS n_docs FROM pool GROUP BY 1), {allocation('sizes', 180, 10, 'topic_seed')} SELECT topic_seed, n_docs, quota FROM quotas",
         "gold_sample": f"WITH {GOLD_SAMPLE} SELECT doc_id, topic_seed FROM sample",
         "labelling_sheet": f"WITH {GOLD_SAMPLE} SELECT doc_id, org, '' AS gold_topic, '' AS gold_stakeholder, '' AS notes FROM sample ORDER BY md5('7|' || doc_id) LIMIT 50",
-        "qa_counts": f"WITH {TOPICED} {counts('topiced', 'topic_seed', 'stakeholder_type', 'source_type', 'language', 'label_source')}",
-        "qa_gold": counts("gold_test_fixture", "gold_topic", "gold_stakeholder"),
+        "qa_counts": f"WITH {TOPICED}, once AS (SELECT DISTINCT * FROM topiced) {counts('once', 'topic_seed', 'stakeholder_type', 'source_type', 'language', 'label_source')}",
+        "qa_gold": "WITH once AS (SELECT DISTINCT * FROM gold_test_fixture) " + counts("once", "gold_topic", "gold_stakeholder"),
         "qa_dist_stats": f"WITH w AS ({w}), s AS (SELECT list(v ORDER BY v) AS x, count(*) AS m FROM w) SELECT m AS n_values, x[1] AS min, {ex(1, 4)} AS p25, ((x[(m-1)//2+1] + x[m//2+1]) / 2.0)::DOUBLE::BIGINT - CASE WHEN (x[(m-1)//2+1] + x[m//2+1]) % 4 = 3 THEN 1 ELSE 0 END AS median, {ex(3, 4)} AS p75, {ex(95, 100)} AS p95, x[m] AS max FROM s".replace("((x[(m-1)//2+1] + x[m//2+1]) / 2.0)::DOUBLE::BIGINT - CASE WHEN (x[(m-1)//2+1] + x[m//2+1]) % 4 = 3 THEN 1 ELSE 0 END", "((x[(m-1)//2+1] + x[m//2+1]) // 2)"),
         "percentile_index": f"WITH w AS ({w}), s AS (SELECT list(v ORDER BY v) AS x, count(*) AS m, round(avg(v), 6) AS mean FROM w) SELECT m AS n_values, " + ", ".join(f"x[floor(m * {p}::DOUBLE)::INT + 1] AS {n}" for n, p in (("p10", 0.1), ("p50", 0.5), ("p90", 0.9), ("p99", 0.99))) + ", mean FROM s",
         "study_type_pivot": f"WITH {LATEST} SELECT study_or_consultation_title, " + ", ".join(f"count(*) FILTER (source_type = '{t}') AS {t}" for t in ("hesa_brief", "hesa_report", "gov_response", "crawl")) + ", count(*) AS total FROM latest WHERE study_or_consultation_title IS NOT NULL GROUP BY ROLLUP (study_or_consultation_title)",
         "qa_flags": f"WITH {LATEST} SELECT count(*) FILTER (length(duplicate_of) > 0) AS n_duplicates, count(*) FILTER (needs_ocr) AS n_needs_ocr, count(*) FILTER (layout_mangled) AS n_mangled, count(*) FILTER (dropped_short) AS n_short FROM latest",
         "qa_clusters": "WITH s AS (SELECT near_dup_cluster, count(DISTINCT doc_id) AS n FROM corpus_fixture WHERE length(near_dup_cluster) > 0 GROUP BY 1) SELECT coalesce(sum(n), 0)::BIGINT AS clustered_docs, count(*) AS n_clusters, max(n) AS largest, count(*) FILTER (n = 1) AS n_single FROM s",
-        "qa_topics": f"WITH {TOPICED}, c AS (SELECT coalesce(topic_seed, 'unknown') AS topic, count(*) AS n_docs FROM topiced GROUP BY 1) SELECT topic, n_docs, round(n_docs / (sum(n_docs) OVER ())::DOUBLE, 9) AS share, repeat('█', round_even(40 * n_docs / (sum(n_docs) OVER ())::DOUBLE, 0)::INT) AS bar, topic = 'unlabeled' AS is_fallback FROM c",
+        "qa_topics": f"WITH {TOPICED}, c AS (SELECT coalesce(topic_seed, 'unknown') AS topic, count(*) AS n_docs FROM (SELECT DISTINCT * FROM topiced) GROUP BY 1) SELECT topic, n_docs, round(n_docs / (sum(n_docs) OVER ())::DOUBLE, 9) AS share, repeat('█', round_even(40 * n_docs / (sum(n_docs) OVER ())::DOUBLE, 0)::INT) AS bar, topic = 'unlabeled' AS is_fallback FROM c",
         "corpus_inclusion": f"""WITH {LATEST} SELECT CASE WHEN source_type <> 'hesa_brief' THEN 'not_brief' WHEN length(duplicate_of) > 0 THEN 'duplicate' WHEN dropped_short THEN 'short' WHEN needs_ocr THEN 'needs_ocr' WHEN coalesce(language, '') = '' THEN 'no_language' ELSE 'included' END AS outcome, count(*) AS n_docs FROM latest GROUP BY 1""",
         "corpus_build": corpus_sql(),
         "published_dates": f"WITH {LATEST}, p AS (SELECT DISTINCT coalesce(published_raw, published_date) AS published FROM latest UNION {values([(x,) for x in fixtures.PUBLISHED], 'published')}), b AS (SELECT published, {strip("replace(published, 'Published on:', '')")} AS p FROM p WHERE published IS NOT NULL) SELECT published, strftime({iso}, '%Y-%m-%d') AS iso FROM b",

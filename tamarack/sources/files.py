@@ -47,9 +47,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, stripped: boo
 
 
 def read_lookup(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
-    """A lookup table: values stripped, one row per key."""
-    rows = read_csv(spark, path, schema, stripped=True).filter(F.length(key) > 0)
-    return rows.groupBy(key).agg(*[F.max(c).alias(c) for c in rows.columns if c != key])
+    """A lookup table: values stripped, one row per key, the last row of the file for a repeated one."""
+    rows = read_csv(spark, path, schema, stripped=True).filter(F.length(key) > 0).withColumn("_place", F.monotonically_increasing_id())
+    return latest(rows, key, "_place").drop("_place")
 
 
 def read_ids(spark: SparkSession, path: str, schema: T.StructType, col: str = "doc_id") -> DataFrame:

@@ -124,15 +124,16 @@ def _rows(node: Node) -> Iterator[str]:
 def _kept_text(node: Node) -> str:
     if not any(n.tag in DROPPED for n in node.all()):
         return node.text()
-    copy = Node(node.tag, node.attrs)
-    copy.children = [_without_dropped(c) if isinstance(c, Node) else c for c in node.children if not (isinstance(c, Node) and c.tag in DROPPED)]
-    return copy.text()
-
-
-def _without_dropped(node: Node) -> Node:
-    copy = Node(node.tag, node.attrs)
-    copy.children = [_without_dropped(c) if isinstance(c, Node) else c for c in node.children if not (isinstance(c, Node) and c.tag in DROPPED)]
-    return copy
+    out, stack = [], [iter(node.children)]
+    while stack:
+        child = next(stack[-1], None)
+        if child is None:
+            stack.pop()
+        elif isinstance(child, str):
+            out.append(child.strip())
+        elif child.tag not in DROPPED:
+            stack.append(iter(child.children))
+    return " ".join(t for t in out if t)
 
 
 def page_text(html: str | None) -> str:

@@ -34,9 +34,13 @@ def append_new(df: DataFrame, path: str, key: str) -> DataFrame:
 
 
 def new_documents(found: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Found documents whose id and address are both unknown, each id and each address once."""
+    """Found documents whose id and address are both unknown, each id and each address once; rows without an address are known by their id."""
     unseen = found.join(manifest.select("doc_id"), "doc_id", "left_anti").join(manifest.select("source_url"), "source_url", "left_anti")
-    return unseen.select(*found.columns).dropDuplicates(["doc_id"]).dropDuplicates(["source_url"])
+    rest = [c for c in found.columns if c not in ("doc_id", "source_url")]
+    # the smallest of the rows of an id, then the smallest id of an address, so every run keeps the same ones
+    once = unseen.groupBy("doc_id").agg(F.min(F.struct("source_url", *rest)).alias("_r")).select("doc_id", "_r.*")
+    addressed = once.filter("source_url is not null").groupBy("source_url").agg(F.min(F.struct("doc_id", *rest)).alias("_r")).select("source_url", "_r.*")
+    return addressed.unionByName(once.filter("source_url is null")).select(*found.columns)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
