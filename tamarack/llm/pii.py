@@ -79,6 +79,7 @@ _PHONE = re.compile(r"(?<![\w/.+-])(?:\+?1[\s.-]{0,2})?(?:\([2-9]\d\d\)|[2-9]\d\
 _ABROAD = re.compile(r"(?<![\w/.+-])\+(?!1\D)[2-9]\d{0,2}(?:[\s./-]{0,2}\(?\d{1,4}\)?){2,6}(?![\w]|-\d)")
 # Social security numbers in three groups, which files are numbered by too and so need a cue; numbers of payment cards in four.
 _GROUPED = re.compile(r"(?<![\w-])(?:(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}|[2-6]\d{3}(?P<g>[\s-])\d{4}(?P=g)\d{4}(?P=g)\d{4})(?![\w]|-\d)")
+_FOURS = re.compile(r"\d{4}[\s-]\d{4}")
 _ID = re.compile(r"(?<![\w-])(?:\d{4}[\s-]?\d{3}[\s-]?\d{3}[\s-]?[A-Z]{2}|[A-Z]{2}[\s-]?\d{6}|\d{3}(?P<s>[\s-]?)\d{3}(?P=s)\d{3})(?![\w]|-\d)")
 _ID_CUE = re.compile(r"(?:\bSIN\b|\bSSN\b|\bNAS\b|\bID\b|social insurance|social security|assurance sociale|health card|assurance maladie|carte santé|passport|passeport|permit|permis|identit|licen[cs]e)(?:\s+no\.)?[^.;|\d]{0,40}$", re.I)
 _NO_ID_CUE = re.compile(r"(?:grant|file|dossier|subvention|invoice|facture|order|case|bill|projet de loi)(?:\s+(?:no|number|numéro)\.?)?\s*[:#]?\s*$", re.I)
@@ -97,7 +98,13 @@ _STREET_FIRST = (
     re.compile(r"(?<![\w-])(?:вул\.|вулиця|просп\.|проспект|бульвар|пров\.|провулок|площа)\s+[А-ЯҐЄІЇ][\w'’-]+(?:\s+[А-ЯҐЄІЇ][\w'’-]+){0,2},?\s+(?:буд\.\s*)?\d+\w?(?:,\s*кв\.\s*\d+)?(?!\w)"),
     re.compile(r"[\u4e00-\u9fff]{2,8}(?:路|街|大道|巷|弄)\d+号(?:\d+(?:室|楼|单元))*"),
 )
-_NUMBER_AFTER = re.compile(r"(?i:stra(?:ß|ss)e|str\.|gasse|allee|platz|damm|ufer|weg|calle|avenida|av\.|avda\.|paseo|plaza|carrera|rua|travessa|praça|alameda|largo|вул|просп|бульвар|пров|площа|号)")
+# What a text must hold for each of them to be looked for.
+_STREET_WORDS = (
+    ("straße ", "strasse ", "str. ", "gasse ", "allee ", "platz ", "damm ", "ufer ", "er Straße ", "er Allee ", "er Platz ", "er Weg "),
+    ("Calle ", "Avenida ", "Av. ", "Avda. ", "Paseo ", "Plaza ", "Carrera ", "Rua ", "Travessa ", "Praça ", "Alameda ", "Largo "),
+    ("вул", "просп", "бульвар", "пров", "площа"),
+    ("号",),
+)
 _NAME = re.compile(rf"(?<![\w'-])(?:(?P<given>{_CAP}[\w'-]*\w)|(?P<initial>{_CAP})\.)(?P<middle>\s+{_CAP}\.)?\s+(?P<family>{_CAP}[\w'-]*\w)")
 _NAME_CUE = re.compile(r"(?:\bmy name is|\bje m'appelle|\bcontact person\s*:|\bpersonne-ressource\s*:|\bsigned,?|\bsigné,?|\bneighbour|\bvoisine?|\b(?:Mr|Mrs|Ms|Mx|Dr|Dre|Mme|Prof)\.?)\s+$", re.I)
 _COUNTED = re.compile(r"\s*(?:de\s+)?(?:dollar|%|per\b|pour\b|people|person|million|\$)", re.I)
@@ -211,7 +218,7 @@ def find_items(source: str) -> list[tuple[str, int, int]]:
         found.append((m.start(), m.end(), "phone"))
     if "+" in t:
         found += [(m.start(), m.end(), "phone") for m in _ABROAD.finditer(t) if 8 <= sum(map(str.isdigit, m[0])) <= 15]
-    for m in _GROUPED.finditer(t):
+    for m in _GROUPED.finditer(t) if "SSN" in t or "ocial" in t or _FOURS.search(t) else ():
         digits = re.sub(r"\D", "", m[0])
         before = t[max(0, m.start() - 60) : m.start()]
         if not _NO_ID_CUE.search(before) and (_luhn(digits) if len(digits) == 16 else _ID_CUE.search(before)):
@@ -224,8 +231,8 @@ def find_items(source: str) -> list[tuple[str, int, int]]:
     for pattern in (_FRENCH, _ENGLISH):
         for m in pattern.finditer(t):
             found.append((m.start(), m.end(), "address"))
-    if _NUMBER_AFTER.search(t):
-        for pattern in _STREET_FIRST:
+    for pattern, hints in zip(_STREET_FIRST, _STREET_WORDS, strict=True):
+        if any(h in t for h in hints):
             found += [(m.start(), m.end(), "address") for m in pattern.finditer(t)]
     found += [(a, b, "person") for a, b in _names(t)]
     rank = {"email": 0, "phone": 1, "id_number": 2, "address": 3, "person": 4}
