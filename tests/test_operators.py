@@ -193,3 +193,16 @@ def test_value_counts_and_pivot(spark):
     df = spark.createDataFrame([("a", "x"), ("a", None), (None, "y")], "r string, c string")
     assert {(r["field"], r["value"]): r["n_rows"] for r in qa.value_counts(df, "c").collect()} == {("c", "x"): 1, ("c", "unknown"): 1, ("c", "y"): 1}
     assert {r["r"]: r["total"] for r in qa.pivot_counts(df, "r", "c", ["x", "y"]).collect()} == {"a": 2, None: 2}
+
+
+def test_ids_outgrow_their_digits(spark, monkeypatch):
+    monkeypatch.setattr(ids, "RANGE", 50)
+    new = spark.createDataFrame([("p", k) for k in range(120)], "prefix string, key long")
+    got = {r["new_id"] for r in ids.next_ids(new, spark.createDataFrame([("p_07",)], "u string"), "prefix", "key", "u", digits=2).collect()}
+    assert got == {f"p_{n:02d}" for n in range(1, 122) if n != 7}
+
+
+def test_last_lookup_row_wins(spark):
+    lookup = spark.createDataFrame([("A", "z", 1), ("A", "b", 2)], "org string, stakeholder_type string, line long")
+    docs = spark.createDataFrame([(1, "A")], "i int, o string")
+    assert [labels.stakeholders(docs, "o", lookup, order).first()["stakeholder_type"] for order in ("line", None)] == ["b", "z"]

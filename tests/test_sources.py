@@ -105,3 +105,7 @@ def test_stream_ingests_each_document_once(spark, tmp_path):
     (source / "2.jsonl").write_text('{"doc_id": "b"}\n{"doc_id": "c"}\n')
     go()
     assert sorted(r["doc_id"] for r in spark.read.parquet(str(out)).select("doc_id").collect()) == ["a", "b", "c"]
+
+
+def test_pages_of_any_depth():
+    assert html.page_text("<body><p>a " + "<span>" * 5000 + "deep<script>x</script>" + "</span>" * 5000 + " b</p></body>") == "a deep b"
