@@ -6,6 +6,8 @@ import math
 import random
 from itertools import combinations, product
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,3 +255,53 @@ def test_given_names_outside_all_lists_and_names_without_words(spark):
     # two people offer the initial, and none has a clear lead
     assert got["T. Rangihau"] == ("T. Rangihau", 0)
     assert all(got[n][0] == n for n in rows[3:])
+
+
+def _bucket(n, near, seed=5):
+    """One part's entries under one band key: random sketches, of which each of the first ``near`` is one bit off the next number's."""
+    rng = np.random.default_rng(seed)
+    e = rng.integers(0, 1 << 64, (n, 1 + near_duplicates.SKETCH_WORDS), dtype=np.uint64)
+    e[:, 0] = (np.uint64(9) << np.uint64(32)) | np.arange(n, dtype=np.uint64)
+    for k in range(0, 2 * near, 2):
+        e[k + 1, 1:] = e[k, 1:]
+        e[k + 1, 1] ^= np.uint64(1)
+    return rng.permutation(np.concatenate([e, e[:7]]))
+
+
+@pytest.mark.parametrize(("n", "long_run"), [(40, 4000), (500, 4000), (500, 100), (70, 3)])
+def test_chance_candidates_never_leave_their_bucket(n, long_run):
+    e = _bucket(n, 20)
+    want = [(k << 32) | (k + 1) for k in range(0, 40, 2)]
+    pairs, runs = near_duplicates._pairs_in(e, long_run, 67)
+    assert pairs.tolist() == (want if n <= long_run else [])
+    # what leaves the task that met the entries is the likely pairs, or a run too long for it, once each
+    emitted = list(near_duplicates._bucket_pairs(long_run, 67)(iter([pa.RecordBatch.from_arrays([pa.array([1], pa.int32()), pa.array([e.tobytes()])], ["part", "entries"])])))
+    rows = [r for b in emitted for r in b.to_pylist()]
+    assert sum(len(r["pairs"] or b"") for r in rows) == 8 * len(pairs)
+    assert sum(len(r["entries"] or b"") for r in rows) == (n * near_duplicates.ENTRY_BYTES if n > long_run else 0)
+    blocks = [r["entries"] for r in rows if r["entries"]]
+    held = pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*[(x, y) for k, x in enumerate(blocks) for y in blocks[k:]], strict=True)] or [pa.array([], pa.binary())] * 2, ["x", "y"])
+    met = [v for b in near_duplicates._block_pairs(67)(iter([held])) for v in np.frombuffer(b.column(0)[0].as_py(), np.uint64).tolist()]
+    assert sorted({*met, *pairs.tolist()}) == want
+
+
+def test_ids_in_several_classes_pair_once(spark):
+    body = " ".join(f"w{k}" for k in range(100))
+    rows = [("a", body), ("a", f"{body} more"), ("a", f"{body} most"), ("b", body), ("b", f"{body} more"), ("c", body), ("c", body), ("d", f"{body} else"), ("e", "nothing like any of the others here")]
+    members, links = near_duplicates.similar_classes(spark.createDataFrame(rows, "k string, t string"), "k", "t")
+    assert sorted(map(tuple, near_duplicates.similar_pairs(members, links).collect())) == list(combinations("abcd", 2))
+
+
+def test_chance_candidates_are_not_written(spark, tmp_path):
+    # each two of the texts have a third of their words in common, so that about 40,000 pairs share a band and none is near
+    shared = " ".join(f"w{k}" for k in range(100))
+    df = spark.createDataFrame([(f"d{d:03d}", f"{shared} " + " ".join(f"x{d}y{k}" for k in range(100))) for d in range(400)], "k string, t string")
+    context = spark.sparkContext
+    before = context.getCheckpointDir()
+    context.setCheckpointDir(str(tmp_path / "checkpoints"))
+    try:
+        members, links = near_duplicates.similar_classes(df, "k", "t", 0.5, 3)
+        assert members.count() == 400 and links.count() == 0
+        assert sum(p.stat().st_size for p in tmp_path.rglob("part-*")) < 400 * 1000
+    finally:
+        context.setCheckpointDir(before or str(tmp_path / "later"))
